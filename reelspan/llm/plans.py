@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelspan.llm import contamination, lookalikes, nearest_time, vector_forest
+from reelspan.llm import contamination, language, lookalikes, nearest_time, packing, vector_forest
 from reelspan.session import table
 
 
@@ -54,8 +54,31 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d)
 
 
+CAPACITY = 2048
+
+
+def p7_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(table(spark, d, "documents"), capacity=CAPACITY)
+
+
+def p7_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.container_fill(p7_packing(spark, d), CAPACITY)
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.wrong_or_mixed(language.document_languages(language.segments(table(spark, d, "documents"))))
+
+
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.segments(table(spark, d, "documents")).drop("label")
+
+
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    return language.document_languages(language.segments(table(spark, d, "documents")))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_recall, p4_found, p4_texts, p5_found, p8_found, p8_leaks)}
+    return {f.__name__: f for f in (p3_found, p3_recall, p4_found, p4_texts, p5_found, p7_packing, p7_fill, p8_found, p8_leaks, p9_found, p9_segments, p9_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
