@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelspan.plans import data_quality
+from reelspan.plans import data_quality, timelines
 
-_MODULES = [data_quality]
+_MODULES = [data_quality, timelines]
 
 
 def queries() -> dict:
