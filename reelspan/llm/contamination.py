@@ -17,6 +17,7 @@ passage; repeated items each count; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import reduce
@@ -28,19 +29,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
-_D = str.maketrans({"đ": "d", "Đ": "d"})
+_ASCII_WORD = re.compile(r"[a-z0-9A-Z]+")
+
+class _Fold(dict):
+    """What each character of lower-cased text becomes; filled as characters turn up."""
+
+    def __missing__(self, cp: int) -> str:
+        made = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if unicodedata.category(c) != "Mn").replace("đ", "d")
+        self[cp] = made
+        return made
+
+
+_FOLD = _Fold()
 STEP = 4  # bands start every STEP diagonals and span 2 * STEP: edits up to STEP fit in one
 MAX_EDITS = 3
 BATCH_CHARS = 200_000
-_ITEM_BITS, _DOC_BITS, _DIAG_BITS = 20, 15, 28
+MAX_DOCS = 1 << 15
 
 
 def fold(text: str) -> list[str]:
     """Words of a text: runs of letters and digits, lower case, without accents."""
-    plain = unicodedata.normalize("NFKD", text.casefold()) if not text.isascii() else text.lower()
-    if not plain.isascii():
-        plain = "".join(c for c in plain if unicodedata.category(c) != "Mn").translate(_D)
-    return _WORD.findall(plain)
+    plain = text.lower() if text.isascii() else text.casefold().translate(_FOLD)
+    return _ASCII_WORD.findall(plain) if plain.isascii() else _WORD.findall(plain)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -166,13 +176,18 @@ def scan(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, int, i
     doc = np.searchsorted(edges, doc_at, "right") - 1
     diag = doc_at - edges[doc] - pos + index.longest
     block = diag // STEP + 1
-    key = (((item << _DOC_BITS) | doc) << _DIAG_BITS) | block
-    order = np.argsort(key, kind="stable")
-    key, pos, diag = key[order], pos[order], diag[order]
+    d_bits, g_bits, p_bits = (int(x).bit_length() for x in (len(docs), block.max() + 1, index.longest))
+    high = ((item << d_bits) | doc) << g_bits | block
+    if len(index.ids).bit_length() + d_bits + g_bits + p_bits <= 63:
+        packed = np.sort((high << p_bits) | pos)
+        key, pos = packed >> p_bits, packed & ((1 << p_bits) - 1)
+    else:
+        order = np.lexsort((pos, high))
+        key, pos = high[order], pos[order]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     blocks, size = key[new], np.diff(np.append(new, len(key)))
     nxt = np.append((blocks[1:] == blocks[:-1] + 1) * size[1:], 0)
-    need = index.item_need[blocks >> (_DOC_BITS + _DIAG_BITS)]
+    need = index.item_need[blocks >> (d_bits + g_bits)]
     band = np.flatnonzero(size + nxt >= need)
     if not len(band):
         return []
@@ -184,7 +199,7 @@ def scan(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, int, i
     side = index.longest + 1
     place = np.sort(region * side + pos[hit])
     place = place[np.append(True, place[1:] != place[:-1])]  # one hit per passage character
-    r_item = blocks[band] >> (_DOC_BITS + _DIAG_BITS)
+    r_item = blocks[band] >> (d_bits + g_bits)
     w_count = index.w_first[r_item + 1] - index.w_first[r_item]
     r = np.repeat(np.arange(len(band)), w_count)
     w = np.arange(int(w_count.sum())) - np.repeat(np.cumsum(w_count) - w_count, w_count) + np.repeat(index.w_first[r_item], w_count)
@@ -193,8 +208,8 @@ def scan(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, int, i
     r, w = r[keep], w[keep]
     if not len(r):
         return []
-    mid = (blocks[band] & ((1 << _DIAG_BITS) - 1)) * STEP - index.longest  # the middle diagonal of the band
-    r_doc = (blocks[band] >> _DIAG_BITS) & ((1 << _DOC_BITS) - 1)
+    mid = (blocks[band] & ((1 << g_bits) - 1)) * STEP - index.longest  # the middle diagonal of the band
+    r_doc = (blocks[band] >> g_bits) & ((1 << d_bits) - 1)
     best: dict[tuple[int, int], list[int]] = {}
     for s in range(0, len(r), 4096):
         rr, ww = r[s : s + 4096], w[s : s + 4096]
@@ -249,7 +264,7 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
                     ids.append(d)
                     docs.append(words)
                     chars += len(t)
-                    if chars >= BATCH_CHARS or len(docs) >= (1 << _DOC_BITS) - 1:
+                    if chars >= BATCH_CHARS or len(docs) >= MAX_DOCS:
                         yield flush(ids, docs)
                         ids, docs, chars = [], [], 0
             if docs:
