@@ -1,8 +1,8 @@
 """Loading physical CSV lines as shots and clips, with broken lines kept apart.
 
 Blocks of lines go through the columnar CSV reader and vectorised checks. A block that
-fails is halved until the broken lines stand alone; only those are diagnosed by a strict
-character-level reading, which has the last word. No shuffle takes place and no line is
+fails is halved until the broken lines stand nearly alone; those few lines are diagnosed by a
+strict character-level reading, which has the last word. No shuffle takes place and no line is
 dropped.
 
 Defined cases: a null or empty line has a wrong column count; an unknown or null
@@ -29,7 +29,9 @@ LAYOUT = {
     "shot": ("shot_id", "video_id", "shot_index", "start_ms", "end_ms", "start_frame_idx", "end_frame_idx"),
     "clip": ("clip_id", "shot_id", "start_ms", "end_ms", "start_frame_idx", "end_frame_idx", "sampling_fps", "clip_path"),
 }
-BLOCK_LINES = 2048
+BLOCK_LINES = 256
+#: A failing block of at most this many lines is diagnosed line by line instead of halved.
+STRICT_LINES = 16
 _QUOTED = r'(?:[^",]*|"(?:[^"]|"")*")'
 _SOUND_QUOTES = rf"(?s)\A{_QUOTED}(?:,{_QUOTED})*\z"
 _DIGITS = re.compile(r"[ \t]*([0-9]+)[ \t]*")
@@ -127,13 +129,13 @@ def _fast(kind: str, lines: pa.Array) -> pa.Table | None:
 def _load(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.RecordBatch]:
     out_type = pa.list_(pa.string())
     for batch in batches:
-        kinds = batch.column("record_kind").to_pylist()
+        kinds, numbers = batch.column("record_kind").to_pylist(), batch.column("line_no").to_pylist()
         raw, header = batch.column("line").to_pylist(), [False] * batch.num_rows
         lines: list[str | None] = []
         for i, (kind, text) in enumerate(zip(kinds, raw)):
             if text is not None:
                 text = text.removeprefix("﻿").removesuffix("\r")
-                header[i] = batch.column("line_no")[i].as_py() == 1 and kind in LAYOUT and text == ",".join(LAYOUT[kind])
+                header[i] = numbers[i] == 1 and kind in LAYOUT and text == ",".join(LAYOUT[kind])
             lines.append(text)
         reason: list[str | None] = [None] * len(lines)
         fields: list[list[str] | None] = [None] * len(lines)
@@ -150,7 +152,7 @@ def _load(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.Rec
                 columns = [t[n].to_pylist() for n in LAYOUT[kind]]
                 for i, f, a, b in zip(rows, zip(*columns), t["_a"].to_pylist(), t["_b"].to_pylist()):
                     fields[i], first[i], last[i] = list(f), a, b
-            elif len(rows) > 1 and kind in LAYOUT:
+            elif len(rows) > STRICT_LINES and kind in LAYOUT:
                 half = len(rows) // 2
                 todo += [(kind, rows[:half]), (kind, rows[half:])]
             else:
