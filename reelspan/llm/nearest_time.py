@@ -75,7 +75,7 @@ def _step(tolerance: int, slot_ms: int):
                 if hit:
                     out.append((entity, t, hit[1], hit[0]))
             left.difference_update(due)
-        kept = sorted(t for t in right if t + tolerance >= mark)
+        kept = sorted(t for t in right if t + 2 * tolerance >= mark)  # a waiting moment may lie one tolerance before the mark
         end = (slot + 1) * slot_ms + tolerance
         if not left and end < mark:
             state.remove()
