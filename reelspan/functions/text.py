@@ -73,11 +73,11 @@ def tokens(c: Column) -> Column:
 
 def shingles(words: Column, low: int = 2, high: int = 3) -> Column:
     """Word n-grams of low..high words, joined by blanks, in order."""
-    grams = [
-        F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i, n=n: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
-    ]
-    return F.concat(*grams)
+    def grams(n: int) -> Column:
+        at = F.sequence(F.lit(1), F.size(words) - n + 1)
+        return F.when(F.size(words) >= n, F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[grams(n) for n in range(low, high + 1)])
 
 
 def analyzed(c: Column) -> Column:
@@ -105,8 +105,9 @@ def caption_json(c: Column) -> Column:
 
 def caption_text(c: Column) -> Column:
     """What stands before the JSON; the whole text if there is no JSON or nothing before it."""
-    head = F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)```(?:json)?\s*\{.*$", ""), r"(?s)\{.*\}.*$", ""))
-    return F.coalesce(F.nullif(head, F.lit("")), F.trim(c))
+    head = F.regexp_replace(F.regexp_replace(c, r"(?s)```(?:json)?\s*\{.*$", ""), r"(?s)\{.*\}.*$", "")
+    strip = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.coalesce(F.nullif(strip(head), F.lit("")), strip(c))
 
 
 def has_keys(json_text: Column, keys: tuple[str, ...] = ("scene", "objects", "actions")) -> Column:

@@ -89,7 +89,7 @@ def phrase_matches(index: DataFrame, phrase: str, field: str = "content", key: s
     words = phrase.lower().split()
     first = None
     for i, w in enumerate(words):
-        at = index.where((F.col("term") == w) & (F.col("field") == field)).select(key, F.explode(F.transform("positions", lambda p, i=i: p - i)).alias("p"))
+        at = index.where((F.col("term") == w) & (F.col("field") == field)).select(key, F.explode("positions").alias("p")).select(key, (F.col("p") - i).alias("p"))
         first = at if first is None else first.join(at, [key, "p"], "left_semi")
     return first.groupBy(key).agg(F.count("*").alias("hits"))  # type: ignore[union-attr]
 

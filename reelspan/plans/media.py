@@ -359,7 +359,7 @@ def ocr_rule_counts(spark: SparkSession, d: str) -> DataFrame:
 # ids and scalar functions
 
 
-@_query(f"SELECT frame_id, made FROM (SELECT frame_id, video_id || '_' || lpad(CAST(n AS VARCHAR), greatest(3, length(CAST(n AS VARCHAR))), '0') AS made FROM {c.FRAMES} WHERE source = 'official' AND n IS NOT NULL AND video_id IS NOT NULL) WHERE length(made) <= 15")
+@_query(f"SELECT frame_id, made FROM (SELECT frame_id, video_id || '_' || lpad(CAST(n AS VARCHAR), CAST(greatest(3, length(CAST(n AS VARCHAR))) AS INTEGER), '0') AS made FROM {c.FRAMES} WHERE source = 'official' AND n IS NOT NULL AND video_id IS NOT NULL) WHERE length(made) <= 15")
 def official_frame_ids(spark: SparkSession, d: str) -> DataFrame:
     f = c.frames(spark, d).where("source = 'official' AND n IS NOT NULL AND video_id IS NOT NULL")
     return f.select("frame_id", ids.official_frame_id(F.col("video_id"), F.col("n")).alias("made")).where("made IS NOT NULL")

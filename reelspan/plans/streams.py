@@ -61,7 +61,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "stream_window_counts": "WITH w AS (SELECT event_type, unnest([epoch_ms(ts) // 1800000 * 1800000, epoch_ms(ts) // 1800000 * 1800000 - 1800000]) AS start_ms FROM events) SELECT start_ms, event_type, count(*) AS rows FROM w GROUP BY 1, 2",
-        "stream_sessions": "WITH g AS (SELECT user_id, epoch_ms(ts) AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 21600000000 THEN 0 ELSE 1 END AS o FROM events), s AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(t) AS start_ms, count(*) AS rows FROM s GROUP BY user_id, k",
+        "stream_sessions": "WITH g AS (SELECT user_id, epoch_us(ts) // 1000 AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 21600000000 THEN 0 ELSE 1 END AS o FROM events), s AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(t) AS start_ms, count(*) AS rows FROM s GROUP BY user_id, k",
         "stream_rate_gate": "SELECT DISTINCT user_id, epoch_ms(ts) // 86400000 * 86400000 AS day_ms FROM events",
         "stream_upsert": "SELECT shot_id, arg_max(end_ms, ingested_at) AS end_ms, max(epoch_us(ingested_at)) AS seq FROM shot WHERE end_ms IS NOT NULL GROUP BY 1",
     }

@@ -49,11 +49,11 @@ def test_facility_goldens():
 
 def test_redundancy_and_clusters():
     p = pd.DataFrame({"frame_idx": [1, 2, 3], "clip_vector": [[1.0, 0.0], [1.0, 0.01], [0.0, 1.0]], "center_distance": [5.0, 1.0, 2.0]})
-    assert selectors.drop_redundant(p, min_cosine=0.95, color_limit=0.8, existing=[], most=5) == [1, 2]
+    assert selectors.drop_redundant(p.to_dict("list"), min_cosine=0.95, color_limit=0.8, existing=[], most=5) == [1, 2]
     x = np.array([[0.0, 0], [0.1, 0], [5, 5], [5.1, 5], [0.05, 0]])
     assert len(selectors.cluster_pick(x, most=5)) == 2
     v = pd.DataFrame({"shot_index": [0, 1, 1], "frame_idx": [10, 20, 90], "clip_vector": [[1.0, 0]] * 3, "center_distance": [1.0, 2.0, 3.0]})
-    assert selectors.boundary_dedup(v) == [0, 2]
+    assert selectors.boundary_dedup(v.to_dict("list")) == [0, 2]
 
 
 def test_topk_recall_mrr(spark):
