@@ -127,3 +127,17 @@ def upsert_status(incoming: DataFrame, existing: DataFrame, key: str, values: li
         clash = clash | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
     status = F.when(F.col("_there").isNull(), "inserted").when(clash, "conflict").when(same, "unchanged").otherwise("updated")
     return incoming.join(old, key, "left").withColumn("status", status).drop("_there", *[f"_old_{c}" for c in dict.fromkeys([*values, *identity])])
+
+
+def observations_from_detections(links: DataFrame, detections: DataFrame, frames: DataFrame) -> DataFrame:
+    """Observations of tracks from links (track_id, detection_id), detections and frames.
+
+    Two observations of a track in one frame stop the job before anything is returned.
+    """
+    d = detections.select("detection_id", "frame_id", "confidence", "x_min", "x_max", "y_min", "y_max")
+    f = frames.select("frame_id", "frame_idx", "timestamp_ms")
+    rows = links.select("track_id", "detection_id").join(d, "detection_id").join(f, "frame_id")
+    clash = [tuple(r)[:2] for r in key_conflicts(rows, "track_id", "frame_idx").limit(10).collect()]
+    if clash:
+        raise ValueError(f"several observations of a track in one frame: {clash}")
+    return rows.select("track_id", "frame_idx", "timestamp_ms", "confidence", "x_min", "x_max", "y_min", "y_max")

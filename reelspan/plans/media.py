@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspan.functions import geometry, ids, text, vectors
-from reelspan.operators import aggregates, joins, search, selectors, validate, vector_search
+from reelspan.operators import aggregates, classes, joins, lookups, search, selectors, validate, vector_search
 from reelspan.plans import common as c
 from reelspan.session import table
 from reelspan.sources import readers, sinks
@@ -443,6 +443,46 @@ def recognized_texts(spark: SparkSession, d: str) -> DataFrame:
     return c.ocr(spark, d).where("text IS NOT NULL").select("frame_id", "n", text.recognized_text(F.col("text")).alias("text"))
 
 
+@_query(f"SELECT t.track_id, k.canonical_id, k.canonical_name FROM {c.TRACKS} t JOIN {classes.canonical_sql()} ON CAST(regexp_extract(t.class_id, '^c([0-9]+)$', 1) AS INTEGER) = k.class_index WHERE regexp_full_match(t.class_id, 'c[0-9]+')")
+def canonical_classes(spark: SparkSession, d: str) -> DataFrame:
+    t = c.tracks(spark, d).withColumn("class_index", classes.class_id_index(F.col("class_id"))).where("class_index BETWEEN 0 AND 79")
+    return classes.with_canonical(t).select("track_id", "canonical_id", "canonical_name")
+
+
+@_query(f"SELECT shot_id, shot_index FROM {c.SHOTS} WHERE video_id = 'L1_V1' ORDER BY shot_index, shot_id")
+def shots_of_video(spark: SparkSession, d: str) -> DataFrame:
+    return lookups.shots_of_video(c.shots(spark, d), "L1_V1").select("shot_id", "shot_index")
+
+
+@_query(f"SELECT frame_id, frame_idx FROM {c.FRAMES} WHERE video_id = 'L1_V1' ORDER BY frame_idx, frame_id")
+def frames_of_video(spark: SparkSession, d: str) -> DataFrame:
+    return lookups.frames_of_video(c.frames(spark, d), "L1_V1").select("frame_id", "frame_idx")
+
+
+@_query(f"SELECT frame_id FROM {c.FRAMES} WHERE source = 'extracted' OR (source = 'official' AND video_id IN (SELECT video_id FROM {c.VIDEOS}))")
+def usable_frames(spark: SparkSession, d: str) -> DataFrame:
+    return lookups.usable_frames(c.frames(spark, d).select("frame_id", "video_id", "source"), c.videos(spark, d)).select("frame_id")
+
+
+@_query(f"SELECT scale_type, count(*) AS firsts, min(clip_id) AS least FROM (SELECT * FROM {c.SOUND_CLIPS} QUALIFY row_number() OVER (PARTITION BY shot_id ORDER BY start_ms, end_ms, clip_id) = 1) GROUP BY 1")
+def first_clip_per_shot(spark: SparkSession, d: str) -> DataFrame:
+    k = c.sound_clips(spark, d).select("shot_id", "start_ms", "end_ms", "clip_id", "scale_type")
+    return lookups.first_distinct(k, ["shot_id"], "start_ms", "end_ms", "clip_id").groupBy("scale_type").agg(F.count("*").alias("firsts"), F.min("clip_id").alias("least"))
+
+
+@_query(
+    f"""WITH l AS (SELECT track_id, shot_id, row_number() OVER (PARTITION BY shot_id ORDER BY track_id) AS r FROM {c.TRACKS} WHERE shot_id IS NOT NULL), f AS (SELECT frame_id, frame_idx, timestamp_ms, shot_id, row_number() OVER (PARTITION BY shot_id ORDER BY frame_id) AS r FROM {c.FRAMES} WHERE shot_id IS NOT NULL)
+    SELECT l.track_id, f.frame_idx, f.timestamp_ms FROM l JOIN f ON l.shot_id = f.shot_id AND l.r = f.r"""
+)
+def observation_migration(spark: SparkSession, d: str) -> DataFrame:
+    w = lambda key: F.row_number().over(Window.partitionBy("shot_id").orderBy(key))
+    links = c.tracks(spark, d).where("shot_id IS NOT NULL").select("track_id", F.concat_ws("#", "shot_id", w("track_id").cast("string")).alias("detection_id"))
+    f = c.frames(spark, d).where("shot_id IS NOT NULL")
+    half = F.lit(0.5)
+    found = f.select(F.concat_ws("#", "shot_id", w("frame_id").cast("string")).alias("detection_id"), "frame_id", half.alias("confidence"), *[half.alias(x) for x in ("x_min", "x_max", "y_min", "y_max")])
+    return joins.observations_from_detections(links, found, f).select("track_id", "frame_idx", "timestamp_ms")
+
+
 # search
 
 
@@ -619,9 +659,9 @@ def shot_captions(spark: SparkSession, d: str) -> DataFrame:
 # logs
 
 
-@_query("SELECT shot_id, arg_max(end_ms, ingested_at) AS end_ms, max(ingested_at) AS ingested_at FROM shot WHERE end_ms IS NOT NULL GROUP BY 1")
+@_query("SELECT shot_id, arg_max(end_ms, ingested_at) AS end_ms FROM shot WHERE end_ms IS NOT NULL GROUP BY 1")
 def checkpoint_last_wins(spark: SparkSession, d: str) -> DataFrame:
-    return sinks.last_per_key(table(spark, d, "shot").where("end_ms IS NOT NULL").select("shot_id", "end_ms", "ingested_at"), "shot_id", "ingested_at")
+    return sinks.last_per_key(table(spark, d, "shot").where("end_ms IS NOT NULL").select("shot_id", "end_ms", "ingested_at"), "shot_id", "ingested_at").select("shot_id", "end_ms")
 
 
 @_query()
