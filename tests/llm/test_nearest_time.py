@@ -39,6 +39,7 @@ def test_random_across_slots_and_slices(spark):
     left += [(1000 + k, "u", k * slot) for k in range(3)]
     right += [(f"g{k}", "u", k * slot + d) for k in range(3) for d in (-1, 1)]
     assert run(spark, left, right, tol=200, slot_ms=slot, slice_rows=200) == brute(left, right, 200)
+    assert run(spark, left, right, tol=200, slot_ms=slot, group_events=40) == brute(left, right, 200)
 
 
 def test_empty_sides(spark):
