@@ -90,6 +90,7 @@ class ItemIndex:
                 w_to.append(ends[i + span - 1])
             self.shingles.append({tuple(words[i : i + min_words]) for i in range(len(words) - min_words + 1)})
         self.texts = [_codes(t) for t in texts]
+        self.most_words = max((t.count(" ") + 1 for t in texts), default=0)
         self.w_item, self.w_from, self.w_to = (np.asarray(a, np.int64) for a in (w_item, w_from, w_to))
         n = self.w_to - self.w_from
         edits = np.minimum(MAX_EDITS, (n * edit_rate).astype(np.int64))
@@ -228,6 +229,25 @@ def scan(index: ItemIndex, docs: list[list[str]]) -> list[tuple[int, int, int, i
     return out
 
 
+def scan_long(index: ItemIndex, words: list[str]) -> list[tuple[int, int, int, int, bool]]:
+    """As ``scan`` for one very long document, in pieces that overlap by more than any item."""
+    overlap = 2 * index.most_words + 16
+    pieces, at = [], 0
+    while at < len(words):
+        end, chars = at, 0
+        while end < len(words) and chars < BATCH_CHARS:
+            chars += len(words[end]) + 1
+            end += 1
+        pieces.append(words[max(0, at - overlap) : end])
+        at = end
+    best: dict[int, tuple[int, int, bool]] = {}
+    for piece in pieces:
+        for _, i, n, e, whole in scan(index, [piece]):
+            m, f, w = best.get(i, (0, e, False))
+            best[i] = (max(m, n), min(f, e), w or whole)
+    return [(0, i, *x) for i, x in best.items()]
+
+
 def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", min_words: int = 8, edit_rate: float = 0.04, q: int = 8, shard_chars: int = 4_000_000) -> DataFrame:
     """(doc_id, item_id, passages, edits, whole_run): items leaked into documents.
 
@@ -247,7 +267,7 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
         def find(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             ix = index.value
 
-            def flush(ids: list[int], docs: list[list[str]]) -> pa.RecordBatch:
+            def flush(ids: list[int], docs: list[list[str]], scan=scan) -> pa.RecordBatch:  # type: ignore[no-untyped-def]
                 rows = scan(ix, docs)
                 cols = list(zip(*rows)) if rows else [[], [], [], [], []]
                 return pa.RecordBatch.from_arrays(
@@ -261,6 +281,9 @@ def leaks(documents: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
                     words = fold(t)
                     if not words:
                         continue
+                    if len(t) > BATCH_CHARS:
+                        yield flush([d], words, scan_long)
+                        continue
                     ids.append(d)
                     docs.append(words)
                     chars += len(t)

@@ -38,6 +38,8 @@ LANGS = tuple(x for group in FAMILIES.values() for x in group)
 DIM = 1 << 12
 SIZES = (1, 2, 3, 4)
 MIN_WORDS = 4
+#: A stretch without sentence marks is cut after this many words, so that memory stays bounded.
+MAX_WORDS = 2000
 #: Words of a window and of the step between windows in stretches without sentence marks.
 WINDOW, HOP = 8, 4
 BATCH_CHARS = 150_000
@@ -63,8 +65,9 @@ def sentences(text: str) -> list[list[str]]:
     out = []
     for part in _SPLIT.split(unicodedata.normalize("NFC", text)):
         words = _WORD.findall(part.lower())
-        if len(words) >= MIN_WORDS:
-            out.append(words)
+        for at in range(0, len(words), MAX_WORDS):
+            if len(words) - at >= MIN_WORDS:
+                out.append(words[at : at + MAX_WORDS])
     return out
 
 
@@ -329,26 +332,35 @@ def segments(documents: DataFrame, model: Model | None = None, *, text: str = "t
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
 
-        def flush(held: list[tuple[int, str | None, list[list[str]]]]) -> pa.RecordBatch:
+        made: dict[int, int] = {}  # segments so far of a document that goes on
+
+        def flush(held: list[tuple[int, str | None, list[list[str]], int]]) -> pa.RecordBatch:
             cols: list[list] = [[] for _ in range(7)]
-            for (d, l, _), segs in zip(held, label_texts(m, [x[2] for x in held])):
-                for k, (lang, c, sent, words) in enumerate(segs):
-                    for col, v in zip(cols, (d, l, k, sent, LANGS[lang], c, words)):
+            for (d, l, _, first), segs in zip(held, label_texts(m, [x[2] for x in held])):
+                if not first:
+                    made.clear()
+                for lang, c, sent, words in segs:
+                    for col, v in zip(cols, (d, l, made.get(d, 0), first + sent, LANGS[lang], c, words)):
                         col.append(v)
+                    made[d] = made.get(d, 0) + 1
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int32())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "label", "segment", "sentence", "lang", "confidence", "words"])
 
         held, chars = [], 0
         for b in batches:
             for d, t, l in zip(b.column("d").to_pylist(), b.column("t").to_pylist(), b.column("l").to_pylist()):
-                found = sentences(t)
-                if not found:
-                    continue
-                held.append((d, l, found))
-                chars += len(t)
-                if chars >= BATCH_CHARS:
-                    yield flush(held)
-                    held, chars = [], 0
+                found, first = sentences(t), 0
+                while first < len(found):  # a very long document goes in pieces
+                    last, size = first, 0
+                    while last < len(found) and size < BATCH_CHARS:
+                        size += sum(map(len, found[last])) + len(found[last])
+                        last += 1
+                    held.append((d, l, found[first:last], first))
+                    chars += size
+                    first = last
+                    if chars >= BATCH_CHARS:
+                        yield flush(held)
+                        held, chars = [], 0
         if held:
             yield flush(held)
 

@@ -81,6 +81,17 @@ def test_found_rows(spark):
     assert {(d, x) for d, x in got if d < 1000} == want
 
 
+def test_very_long_text_in_pieces(spark, model):
+    rng = random.Random(6)
+    body = " ".join(sentence(rng, "fr") for _ in range(6000)) + " " + " ".join(PHRASES["de"] * 700).replace(".", "")
+    df = spark.createDataFrame([(1, body, "fr"), (2, sentence(rng, "es"), "es")], "doc_id long, text string, lang string")
+    rows = lg.segments(df, model).orderBy("doc_id", "segment").collect()
+    mine = [r for r in rows if r["doc_id"] == 1]
+    assert [r["segment"] for r in mine] == list(range(len(mine))) and len(mine) > 6000
+    assert [r["sentence"] for r in mine] == sorted(r["sentence"] for r in mine)
+    assert {r["lang"] for r in mine} == {"fr", "de"} and [r["lang"] for r in rows if r["doc_id"] == 2] == ["es"]
+
+
 def test_no_labels_and_empty(spark):
     schema = "doc_id long, text string, lang string"
     assert lg.segments(spark.createDataFrame([(1, "a b c d e", None)], schema)).count() == 0
