@@ -14,7 +14,8 @@ and replayed slice by slice; matches are then joined back to the left rows.
 Defined cases: rows with null entity or time take no part; times beyond ``MAX_MS`` (about
 139 years either way) are no times; repeated rows count once; of equally near records the earlier
 one wins, then the smaller key; a left row without a record within the tolerance gives
-no row; empty sides give an empty result; other columns are carried unchanged.
+no row; empty sides give an empty result; other columns are carried unchanged, but for
+right_key and right_ms, which are replaced.
 """
 
 from __future__ import annotations
@@ -153,16 +154,16 @@ def _drain(spark: SparkSession, feed: str, out: str, log: str, tolerance_ms: int
 
 def nearest_in_time(left: DataFrame, right: DataFrame, *, entity: str, left_time: str, right_time: str, right_key: str, tolerance_ms: int, slice_rows: int = SLICE_ROWS, group_events: int = GROUP_EVENTS, slot_ms: int = SLOT_MS) -> DataFrame:
     """Left rows with their nearest right record: the columns of ``left``, right_key, right_ms."""
-    left = left.withColumn("_t", F.col(left_time).cast("long"))
-    lefts = left.select(F.col(entity).alias("entity"), F.col("_t").alias("t")).distinct()
+    left = left.drop("right_key", "right_ms").withColumn("__moment", F.col(left_time).cast("long"))
+    lefts = left.select(F.col(entity).alias("entity"), F.col("__moment").alias("t")).distinct()
     rights = right.groupBy(F.col(entity).alias("entity"), F.col(right_time).cast("long").alias("t")).agg(F.min(F.col(right_key).cast("string")).alias("key"))
     rights = rights.where(F.col("key").isNotNull())
     total = lefts.count() + rights.count()
     events = stored(as_events(lefts, rights, tolerance_ms, groups=max(1, -(-total // group_events)), slot_ms=slot_ms), "nearest-events")
     slices = max(2, -(-total // slice_rows))
     found = replay(events, tolerance_ms, slices=slices, slot_ms=slot_ms)
-    found = found.select(F.col("entity").alias("_e"), F.col("left_ms").alias("_m"), "right_key", "right_ms")
-    return left.join(found, (F.col(entity) == F.col("_e")) & (F.col("_t") == F.col("_m"))).drop("_e", "_m", "_t")
+    found = found.select(F.col("entity").alias("__entity"), F.col("left_ms").alias("__left"), "right_key", "right_ms")
+    return left.join(found, (F.col(entity) == F.col("__entity")) & (F.col("__moment") == F.col("__left"))).drop("__entity", "__left", "__moment")
 
 
 def batch_entries(batches: DataFrame) -> DataFrame:

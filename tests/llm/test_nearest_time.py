@@ -47,6 +47,13 @@ def test_empty_sides(spark):
     assert run(spark, [(1, "v", 1)], []) == {}
 
 
+def test_clashing_columns(spark):
+    a = spark.createDataFrame([(1, "v", 5, "x", 7, 8)], LEFT + ", right_key string, t long, slot long")
+    b = spark.createDataFrame([("f", "v", 6, "y")], RIGHT + ", q string")
+    got = nt.nearest_in_time(a, b, entity="video", left_time="m", right_time="t", right_key="frame", tolerance_ms=5).collect()
+    assert [(r["q"], r["t"], r["slot"], r["right_key"], r["right_ms"]) for r in got] == [(1, 7, 8, "f", 6)]
+
+
 def test_entries_of_uneven_arrays(spark):
     df = spark.createDataFrame([(1, "v", [10, 20, 30], [None, 21]), (1, "v", [10, 20, 30], [None, 21]), (2, "v", None, [5]), (3, "v", None, None)], "batch_id long, video_id string, requested_timestamps_ms array<long>, actual_timestamps_ms array<long>")
     got = sorted((r["batch_id"], r["pos"], r["moment_ms"]) for r in nt.batch_entries(df.withColumn("pos", F.lit(9))).collect())
