@@ -43,7 +43,7 @@ def ocr_documents(ocr: DataFrame, frames: DataFrame) -> DataFrame:
 
 
 def transcript_documents(segments: DataFrame) -> DataFrame:
-    return _document(segments.where(text.non_blank(F.col("text")).isNotNull()), "transcript", "segment_id", video_id=F.col("video_id"), content=F.trim("text"), start_ms=F.col("start_ms"), end_ms=F.col("end_ms"))
+    return _document(segments.where(text.non_blank(F.col("text")).isNotNull()), "transcript", "segment_id", video_id=F.col("video_id"), content=F.trim("text"), language=F.col("language"), start_ms=F.col("start_ms"), end_ms=F.col("end_ms"))
 
 
 def caption_documents(captions: DataFrame, frames: DataFrame, shots: DataFrame, clips: DataFrame) -> DataFrame:

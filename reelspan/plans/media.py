@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from reelspan.functions import geometry, ids, text, vectors
 from reelspan.operators import aggregates, classes, joins, lookups, search, selectors, validate, vector_search
 from reelspan.plans import common as c
-from reelspan.session import table
+from reelspan.session import stored, table
 from reelspan.sources import readers, sinks
 
 _Q: dict = {}
@@ -64,9 +64,12 @@ _CAPTIONS = f"""(SELECT 'f:' || frame_id AS caption_id, frame_id, NULL AS clip_i
   UNION ALL SELECT 'c:' || clip_id, NULL, clip_id, NULL, sampling_strategy FROM {c.CLIPS} UNION ALL SELECT 's:' || shot_id, NULL, NULL, shot_id, video_id FROM {c.SHOTS})"""
 
 
-def _captions(spark: SparkSession, d: str) -> DataFrame:
+def _captions(spark: SparkSession, d: str, *, every: bool = False) -> DataFrame:
+    """Captions of frames, clips and shots: of a frame the text n = 1, or every text with n in its caption_id."""
     none = F.lit(None).cast("string")
-    f = c.ocr(spark, d).where("n = 1").select(F.concat(F.lit("f:"), "frame_id").alias("caption_id"), "frame_id", none.alias("clip_id"), none.alias("shot_id"), "text")
+    o = c.ocr(spark, d) if every else c.ocr(spark, d).where("n = 1")
+    frame_caption = F.concat(F.lit("f:"), "frame_id", F.lit(":"), F.col("n").cast("string")) if every else F.concat(F.lit("f:"), "frame_id")
+    f = o.select(frame_caption.alias("caption_id"), "frame_id", none.alias("clip_id"), none.alias("shot_id"), "text")
     k = c.clips(spark, d).select(F.concat(F.lit("c:"), "clip_id").alias("caption_id"), none.alias("frame_id"), "clip_id", none.alias("shot_id"), F.col("sampling_strategy").alias("text"))
     s = c.shots(spark, d).select(F.concat(F.lit("s:"), "shot_id").alias("caption_id"), none.alias("frame_id"), none.alias("clip_id"), "shot_id", F.col("video_id").alias("text"))
     return f.unionByName(k).unionByName(s)
@@ -489,8 +492,15 @@ def observation_migration(spark: SparkSession, d: str) -> DataFrame:
 def _documents(spark: SparkSession, d: str) -> DataFrame:
     v = search.video_documents(c.videos(spark, d))
     o = search.ocr_documents(c.ocr(spark, d), c.frames(spark, d))
-    k = search.caption_documents(_captions(spark, d).where("frame_id IS NULL"), c.frames(spark, d), c.shots(spark, d), c.clips(spark, d))
-    return search.all_documents(v, o, k)
+    t = search.transcript_documents(_transcripts(spark, d))
+    k = search.caption_documents(_captions(spark, d, every=True), c.frames(spark, d), c.shots(spark, d), c.clips(spark, d))
+    return search.all_documents(v, o, t, k)
+
+
+def _transcripts(spark: SparkSession, d: str) -> DataFrame:
+    """The transcript rows of documents; the table has no times for them."""
+    none = F.lit(None).cast("bigint")
+    return table(spark, d, "documents").where("source = 'transcript'").select(F.col("doc_id").cast("string").alias("segment_id"), "video_id", "text", F.col("lang").alias("language"), none.alias("start_ms"), none.alias("end_ms"))
 
 
 @_query(
@@ -501,7 +511,14 @@ def doc_build_metadata(spark: SparkSession, d: str) -> DataFrame:
     return search.video_documents(c.videos(spark, d)).select("doc_id", "video_id", "content")
 
 
-@_query()
+@_query(
+    f"""WITH v AS (SELECT 'video_metadata' AS source_type, video_id AS id FROM {c.VIDEOS} WHERE trim(title) <> '' OR trim(description) <> '' OR len(list_filter(keywords, lambda k: trim(k) <> '')) > 0),
+    o AS (SELECT DISTINCT 'ocr_frame' AS source_type, o.frame_id AS id FROM {c.OCR} o JOIN {c.FRAMES} f ON o.frame_id = f.frame_id WHERE trim(o.text) <> '' AND x_min BETWEEN 0 AND 1 AND x_max BETWEEN 0 AND 1 AND y_min BETWEEN 0 AND 1 AND y_max BETWEEN 0 AND 1 AND x_min <= x_max AND y_min <= y_max),
+    t AS (SELECT 'transcript' AS source_type, CAST(doc_id AS VARCHAR) AS id FROM documents WHERE source = 'transcript' AND trim(text) <> ''),
+    k AS (SELECT 'caption' AS source_type, 'f:' || o.frame_id || ':' || o.n AS id FROM {c.OCR} o JOIN {c.FRAMES} f ON o.frame_id = f.frame_id WHERE trim(o.text) <> '' AND f.video_id IS NOT NULL
+      UNION ALL SELECT 'caption', 'c:' || k.clip_id FROM {c.CLIPS} k JOIN {c.SHOTS} s ON k.shot_id = s.shot_id WHERE trim(k.sampling_strategy) <> '' AND s.video_id IS NOT NULL UNION ALL SELECT 'caption', 's:' || shot_id FROM {c.SHOTS} WHERE trim(video_id) <> '')
+    SELECT source_type, count(*) AS docs, count(DISTINCT id) AS ids FROM (FROM v UNION ALL FROM o UNION ALL FROM t UNION ALL FROM k) GROUP BY 1"""
+)
 def doc_counts(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d).groupBy("source_type").agg(F.count("*").alias("docs"), F.count_distinct("doc_id").alias("ids"))
 
@@ -575,7 +592,9 @@ def search_region_filter(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def full_search(spark: SparkSession, d: str) -> DataFrame:
-    hits = search.search(_documents(spark, d), search.SearchQuery("cây cầu tre", top_k=50, use_fuzzy=True, use_highlight=True))
+    docs = stored(_documents(spark, d), "documents")  # else every clause builds all documents again
+    index = stored(search.postings(docs), "postings")
+    hits = search.search(docs, search.SearchQuery("cây cầu tre", top_k=50, use_fuzzy=True, use_highlight=True), index)
     return hits.select("doc_id", F.round("score", 6).alias("score"), "highlight")
 
 
