@@ -45,11 +45,15 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_tracks(spark: SparkSession, d: str) -> DataFrame:
-    """Tracks closed by event time; those still open at the end stay in the state."""
+    """Tracks closed by event time; a row far behind the last one closes those still open at the end."""
     f = c.frames(spark, d).where("shot_id IS NOT NULL AND timestamp_ms IS NOT NULL")
     rows = f.select("shot_id", F.col("source").alias("class_id"), F.lit(0).cast("long").alias("local_id"), F.timestamp_millis(F.col("timestamp_ms") + 86_400_000).alias("event_time"), "timestamp_ms", F.col("fps").alias("confidence"))
     root = scratch_path(spark, "tracks")
     rows.write.parquet(f"{root}/in")
+    last = spark.read.schema(rows.schema).parquet(f"{root}/in").agg(F.max("event_time").alias("event_time"))
+    empty = {n: F.lit(None).cast(t) for n, t in rows.dtypes if n != "event_time"}
+    flush = last.where("event_time IS NOT NULL").select(*[empty.get(n, F.col("event_time") + F.expr("INTERVAL 1 DAY")).alias(n) for n in rows.columns]).withColumn("timestamp_ms", F.unix_millis("event_time"))
+    flush.write.mode("append").parquet(f"{root}/in")
     stream = spark.readStream.schema("shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double").parquet(f"{root}/in")
     return incremental.run_once(incremental.track_states(stream), "tracks")
 
@@ -64,4 +68,5 @@ def oracle_sql() -> dict[str, str]:
         "stream_sessions": "WITH g AS (SELECT user_id, epoch_us(ts) // 1000 AS t, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) < 21600000000 THEN 0 ELSE 1 END AS o FROM events), s AS (SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(t) AS start_ms, count(*) AS rows FROM s GROUP BY user_id, k",
         "stream_rate_gate": "SELECT DISTINCT user_id, epoch_ms(ts) // 86400000 * 86400000 AS day_ms FROM events",
         "stream_upsert": "SELECT shot_id, arg_max(end_ms, ingested_at) AS end_ms, max(epoch_us(ingested_at)) AS seq FROM shot WHERE end_ms IS NOT NULL GROUP BY 1",
+        "stream_tracks": f"WITH g AS (SELECT shot_id, source AS class_id, timestamp_ms AS t, fps, CASE WHEN timestamp_ms - lag(timestamp_ms) OVER (PARTITION BY shot_id, source ORDER BY timestamp_ms) <= 2000 THEN 0 ELSE 1 END AS o FROM {c.FRAMES} WHERE shot_id IS NOT NULL AND timestamp_ms IS NOT NULL), s AS (SELECT *, sum(o) OVER (PARTITION BY shot_id, class_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT shot_id, class_id, CAST(0 AS BIGINT) AS local_id, min(t) AS start_ms, greatest(max(t), min(t) + 1) AS end_ms, count(*) AS observation_count, coalesce(sum(fps), 0) / count(*) AS average_confidence FROM s GROUP BY shot_id, class_id, k",
     }

@@ -66,28 +66,48 @@ def gated(events: DataFrame, *, time: str, part: str, interval: str, delay: str
     return bucketed.withWatermark("_bucket", delay).dropDuplicatesWithinWatermark([part, "_bucket"])
 
 
+def merge_spans(spans: list[tuple], idle_ms: int) -> list[tuple]:
+    """Spans (first, last, n, total, lo, hi) with those at most ``idle_ms`` apart made one, in time order."""
+    out: list[tuple] = []
+    for x in sorted(spans):
+        if out and x[0] - out[-1][1] <= idle_ms:
+            f, t, n, total, lo, hi = out[-1]
+            out[-1] = (f, max(t, x[1]), n + x[2], total + x[3], min(lo, x[4]), max(hi, x[5]))
+        else:
+            out.append(x)
+    return out
+
+
 def track_states(observations: DataFrame, *, delay: str = "10 seconds", idle_ms: int = 2000) -> DataFrame:
     """Tracks of a stream of observations (shot_id, class_id, local_id, event_time, timestamp_ms, confidence).
 
-    A track is emitted when nothing came for ``idle_ms`` of event time; its state is then dropped.
+    A gap above ``idle_ms`` of event time ends a track. It is emitted, and leaves the state, when the
+    watermark has passed that gap; until then late rows may still join tracks or lie between them.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, total, lo, hi = state.get if state.exists else (0, 0.0, 1 << 62, -(1 << 62))
-        if state.hasTimedOut:
+        spans = list(zip(*state.get)) if state.exists else []
+        if not state.hasTimedOut:
+            for b in batches:
+                at, ms = b["_at"].astype("int64").tolist(), b["timestamp_ms"].astype("int64").tolist()
+                spans = merge_spans(spans + [(t, t, 1, c, m, m) for t, m, c in zip(at, ms, b["confidence"].fillna(0.0).astype(float).tolist())], idle_ms)
+        now = state.getCurrentWatermarkMs()
+        closed, left = [x for x in spans if x[1] + idle_ms < now], [x for x in spans if x[1] + idle_ms >= now]
+        if left:
+            state.update(tuple(list(v) for v in zip(*left)))
+            state.setTimeoutTimestamp(max(min(x[1] for x in left) + idle_ms, now + 1))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame({"shot_id": [key[0]], "class_id": [key[1]], "local_id": [key[2]], "start_ms": [lo], "end_ms": [max(hi, lo + 1)], "observation_count": [n], "average_confidence": [total / n]})
-            return
-        newest = 0
-        for b in batches:
-            n, total = n + len(b), total + float(b["confidence"].sum())
-            lo, hi = min(lo, int(b["timestamp_ms"].min())), max(hi, int(b["timestamp_ms"].max()))
-            newest = max(newest, int(b["event_time"].max().timestamp() * 1000))
-        state.update((n, total, lo, hi))
-        state.setTimeoutTimestamp(max(newest + idle_ms, state.getCurrentWatermarkMs() + 1))
-
-    return observations.withWatermark("event_time", delay).groupBy("shot_id", "class_id", "local_id").applyInPandasWithState(
-        step, "shot_id string, class_id string, local_id long, start_ms long, end_ms long, observation_count long, average_confidence double", "n long, total double, lo long, hi long", "append", GroupStateTimeout.EventTimeTimeout
+        if closed:
+            rows = [(*key, lo, max(hi, lo + 1), n, total / n) for _, _, n, total, lo, hi in closed]
+            yield pd.DataFrame(rows, columns=["shot_id", "class_id", "local_id", "start_ms", "end_ms", "observation_count", "average_confidence"])
+
+    return observations.withWatermark("event_time", delay).withColumn("_at", F.unix_millis("event_time")).groupBy("shot_id", "class_id", "local_id").applyInPandasWithState(
+        step,
+        "shot_id string, class_id string, local_id long, start_ms long, end_ms long, observation_count long, average_confidence double",
+        "first array<long>, last array<long>, n array<long>, total array<double>, lo array<long>, hi array<long>",
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
 
 
