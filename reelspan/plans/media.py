@@ -608,7 +608,7 @@ def time_keyframes(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def sparse_candidates(spark: SparkSession, d: str) -> DataFrame:
-    s = c.sound_shots(spark, d).withColumn("fps", F.lit(25.0)).where("end_frame_idx - start_frame_idx < 100000")
+    s = c.sound_shots(spark, d).withColumn("fps", F.lit(25.0))
     return selectors.sparse_candidates(s, c.frames(spark, d).where("shot_id IS NOT NULL AND frame_idx IS NOT NULL").select("shot_id", "frame_idx"))
 
 
