@@ -537,6 +537,12 @@ def postings_stats(spark: SparkSession, d: str) -> DataFrame:
     return _index(spark, d).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).where("df >= 20")
 
 
+@_query(f"{_POST} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM p GROUP BY 1")
+def postings_all_terms(spark: SparkSession, d: str) -> DataFrame:
+    """As postings_stats, rare terms too."""
+    return _index(spark, d).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+
 @_query(
     f"""{_POST}, h AS (SELECT doc_id, fl, term, tf, count(*) OVER (PARTITION BY term) AS df FROM p WHERE term IN ('thuyen', 'bicycle', 'market'))
     SELECT doc_id, round(sum(ln(1 + (docs - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST(2.2 AS DOUBLE) / (tf + CAST(1.2 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * fl / al))), 6) AS score FROM h, st GROUP BY 1 ORDER BY sum(ln(1 + (docs - df + CAST(0.5 AS DOUBLE)) / (df + CAST(0.5 AS DOUBLE))) * tf * CAST(2.2 AS DOUBLE) / (tf + CAST(1.2 AS DOUBLE) * (CAST(0.25 AS DOUBLE) + CAST(0.75 AS DOUBLE) * fl / al))) DESC, doc_id LIMIT 50"""
