@@ -83,6 +83,18 @@ def caption_video_chain(spark: SparkSession, d: str) -> DataFrame:
     return joins.chained_video_id(_captions(spark, d), c.frames(spark, d), c.shots(spark, d), c.clips(spark, d)).select("caption_id", "video_id")
 
 
+_ALL_CAPTIONS = _CAPTIONS.replace("'f:' || frame_id AS caption_id", "'f:' || frame_id || ':' || n AS caption_id").replace(" WHERE n = 1", "")
+
+
+@_query(
+    f"""SELECT x.caption_id, coalesce(f.video_id, s.video_id, cs.video_id) AS video_id FROM {_ALL_CAPTIONS} x LEFT JOIN {c.FRAMES} f ON x.frame_id = f.frame_id LEFT JOIN {c.SHOTS} s ON x.shot_id = s.shot_id
+    LEFT JOIN {c.CLIPS} k ON x.clip_id = k.clip_id LEFT JOIN {c.SHOTS} cs ON k.shot_id = cs.shot_id"""
+)
+def caption_video_all(spark: SparkSession, d: str) -> DataFrame:
+    """As caption_video_chain, with every text of a frame."""
+    return joins.chained_video_id(_captions(spark, d, every=True), c.frames(spark, d), c.shots(spark, d), c.clips(spark, d)).select("caption_id", "video_id")
+
+
 @_query("SELECT frame_id, count(*) AS rows FROM frame GROUP BY 1 HAVING count(*) > 1")
 def repeated_keys(spark: SparkSession, d: str) -> DataFrame:
     return joins.key_conflicts(table(spark, d, "frame"), "frame_id")
