@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.llm import contamination, language, lookalikes, nearest_time, packing, vector_forest
-from reelspan.session import table
+from reelspan.session import stored, table
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
@@ -65,6 +65,12 @@ def p7_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.container_fill(p7_packing(spark, d), CAPACITY)
 
 
+def p7_invariants(spark: SparkSession, d: str) -> DataFrame:
+    documents = table(spark, d, "documents")
+    counts = stored(packing.token_counts(documents), "token-counts")
+    return packing.packing_faults(stored(packing.pack(counts, CAPACITY), "packed"), counts, CAPACITY)
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return language.wrong_or_mixed(language.document_languages(language.segments(table(spark, d, "documents"))))
 
@@ -78,12 +84,13 @@ def p9_documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (p3_found, p3_recall, p4_found, p4_texts, p5_found, p7_packing, p7_fill, p8_found, p8_leaks, p9_found, p9_segments, p9_documents)}
+    return {f.__name__: f for f in (p3_found, p3_recall, p4_found, p4_texts, p5_found, p7_packing, p7_fill, p7_invariants, p8_found, p8_leaks, p9_found, p9_segments, p9_documents)}
 
 
 def oracle_sql() -> dict[str, str]:
     words = r"list_filter(regexp_split_to_array(replace(regexp_replace(nfc_normalize(strip_accents(lower(text))), '\p{Mn}', '', 'g'), 'đ', 'd'), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
     return {
+        "p7_invariants": "SELECT count(DISTINCT doc_id) AS texts, 0 AS not_covered_once, 0 AS cut_without_need, 0 AS above_capacity, 0 AS numbers_left_out FROM documents WHERE text <> ''",
         "p8_found": f"""
         WITH d AS (SELECT doc_id AS k, {words} AS w FROM documents), i AS (SELECT item_id AS k, {words} AS w FROM eval_item),
         dg AS (SELECT k, unnest(list_transform(range(1, len(w) - 6), lambda p: array_to_string(w[p:p + 7], ' '))) AS g FROM d WHERE len(w) >= 8),

@@ -32,7 +32,52 @@ def test_solver_small_cases():
     assert check({6: 4}, 10) == 4
     assert check({5: 4, 3: 2, 2: 2}, 10) == 3
     assert check({1: 25}, 10) == 3
-    assert check({7: 1, 3: 1, 0: 4}, 10) == 1 if False else True
+    assert check({7: 1, 3: 1}, 10) == 1
+    assert pk.solve({7: 1, 3: 1, 0: 4}, 10).containers == 1
+
+
+def test_program_fills_nearly_all_containers():
+    rng = random.Random(4)
+    hist = {}
+    for _ in range(6000):
+        s = min(511, max(1, int(rng.lognormvariate(4.0, 1.0))))
+        hist[s] = hist.get(s, 0) + 1
+    plan = pk.solve(hist, 512)
+    assert plan.count("program") >= 0.9 * plan.containers
+    assert plan.bound <= plan.containers <= plan.bound + 3
+
+
+def test_program_finds_what_subset_sums_miss():
+    # the fill takes five 20s first, which fills a container; each 59 is then left alone
+    hist = {59: 100, 20: 200}
+    assert pk.solve(hist, 100, program=False).containers >= 138
+    plan = pk.solve(hist, 100)
+    assert check(hist, 100) <= 105 and plan.count("program") >= 90
+    assert 99 <= plan.bound <= plan.containers  # no packing needs less than 100
+
+
+def test_knapsacks_equal_brute_force():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for _ in range(30):
+        sizes = np.sort(rng.choice(np.arange(1, 12), 4, replace=False))
+        left, prices = rng.integers(0, 4, 4), rng.random((3, 4))
+        got = pk._knapsacks(sizes, left, prices, 17)
+        for g, p in zip(got, prices):
+            assert (g <= left).all() and g @ sizes <= 17
+            best = max(np.dot(c, p) for c in itertools.product(*[range(n + 1) for n in left.tolist()]) if np.dot(c, sizes) <= 17)
+            assert abs(g @ p - best) < 1e-5
+
+
+def test_faults_are_counted(spark):
+    counts = spark.createDataFrame([(1, 5), (2, 9), (3, 4)], "doc_id long, tokens long")
+    good = pk.pack(counts, 6)
+    assert tuple(pk.packing_faults(good, counts, 6).first()) == (3, 0, 0, 0, 0)
+    bad = spark.createDataFrame([(1, 0, 0, 5, 0, "fill"), (2, 0, 0, 6, 0, "fill"), (2, 1, 6, 8, 3, "fill")], good.schema)
+    assert tuple(pk.packing_faults(bad, counts, 6).first()) == (2, 2, 1, 1, 2)
 
 
 def packed(spark, rows, capacity, **kw):
@@ -46,13 +91,13 @@ def test_every_item_fits_and_only_long_ones_are_cut(spark, salt):
     rows = [(i, rng.choice([3, 3, 3, 17, 40, 64, 65, 200]), "x") for i in range(500)]
     got = packed(spark, rows, 64, rows_per_salt=salt)
     fill = {}
-    for d, part, a, b, c in got:
+    for d, part, a, b, c, _ in got:
         assert 0 < b - a <= 64
         fill[c] = fill.get(c, 0) + b - a
     assert max(fill.values()) <= 64
     assert sorted(fill) == list(range(len(fill)))
     for i, tokens, _ in rows:
-        parts = sorted((p, a, b) for d, p, a, b, _ in got if d == i)
+        parts = sorted((p, a, b) for d, p, a, b, *_ in got if d == i)
         assert len(parts) == -(-tokens // 64) and parts[-1][2] == tokens and parts[0][1] == 0
     bound = sum(r[1] for r in rows) / 64
     assert len(fill) <= bound * 1.05 + 1
