@@ -86,4 +86,38 @@ def test_banded_distance_against_full_table():
                 new.append(min(full[j - 1] + (c != e), full[j] + 1, new[j - 1] + 1))
             full = new
         got = ct._banded_distance(index, ct._codes(s), np.array([0]), np.array([0]), 7)
-        assert got[0] == min(full)
+        assert got[0] == min(full) if min(full) <= index.w_edits[0] else got[0] > index.w_edits[0]
+
+
+def test_very_long_document_counts_every_passage_once(monkeypatch):
+    rng = random.Random(5)
+    item = text(rng, 20)
+    words = item.split()
+    doc = words[:10] + text(rng, 300).split() + words[6:20] + text(rng, 50).split()
+    index = ct.ItemIndex([(1, item)], min_words=8, edit_rate=0.04, q=8)
+    whole = ct.scan(index, [doc])
+    monkeypatch.setattr(ct, "BATCH_CHARS", 400)
+    assert ct.scan_long(index, doc) == whole
+    assert len(whole[0, 0][0]) == 3 + 7
+
+
+def test_short_items_are_passages(spark):
+    docs = [(1, "zz Ab, cd yy", 0), (2, "zab cd yy", 0), (3, "x", 0), (4, "ab cd " * 20, 0)]
+    items = [(1, "ab cd", 0), (2, "X", 0), (3, "yy", 0)]
+    assert set(leaks(spark, docs, items)) == {(1, 1), (1, 3), (2, 3), (3, 2), (4, 1)}
+
+
+def test_found_within_the_edit_budget_however_large():
+    rng = random.Random(11)
+    item = " ".join("".join(rng.choice("abcdefghij") for _ in range(15)) for _ in range(8))  # 127 characters: 5 edits
+    for _ in range(60):
+        s = list(item)
+        for at in rng.sample(range(len(s)), 5):
+            s[at] = "z" if rng.random() < 0.5 else s[at] + "z"
+        index = ct.ItemIndex([(1, item)], min_words=8, edit_rate=0.04, q=8)
+        doc = ct.fold(text(rng, rng.randrange(30)) + " " + "".join(s) + " " + text(rng, 20))
+        assert (0, 0) in ct.scan(index, [doc])
+    import pytest
+
+    with pytest.raises(ValueError):
+        ct.ItemIndex([(1, item)], min_words=8, edit_rate=0.2, q=8)
