@@ -36,7 +36,7 @@ def model():
 
 
 def langs(model, text):
-    return [(lg.LANGS[x[0]], x[3]) for x in lg.label_texts(model, [lg.sentences(text)])[0]]
+    return [(lg.LANGS[x[0]], x[3]) for x in lg.Labeller(model).label([lg.sentences(text)])[0]]
 
 
 def test_held_out_accuracy(model):
@@ -96,3 +96,47 @@ def test_no_labels_and_empty(spark):
     schema = "doc_id long, text string, lang string"
     assert lg.segments(spark.createDataFrame([(1, "a b c d e", None)], schema)).count() == 0
     assert lg.segments(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_every_document_gets_a_row(spark, model):
+    rows = [(1, "Xin chào bạn", "vi"), (2, "12:30", "en"), (3, None, "en"), (4, "привет как дела сегодня друг мой", None), (5, '{"scene": "on the large stage", "x": 1}', "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    segs = lg.segments(df, model)
+    got = {r["doc_id"]: (r["lang"], r["words"], r["full"]) for r in segs.collect()}
+    assert got == {1: ("vi", 3, False), 2: (None, 0, False), 3: (None, 0, False), 4: (None, 6, True), 5: ("en", 6, False)}
+    docs = {r["doc_id"]: (r["lang"], r["confidence"]) for r in lg.document_languages(segs).collect()}
+    assert set(docs) == set(got) and docs[2] == (None, 0.0) and docs[1][0] == "vi"
+    assert lg.wrong_or_mixed(lg.document_languages(segs)).count() == 0
+
+
+def test_no_word_is_lost_in_a_long_stretch():
+    for n in (4, 5, 2000, 2001, 2003, 2004, 4001):
+        got = lg.sentences("a " * n)
+        assert sum(map(len, got)) == n and min(map(len, got)) >= lg.MIN_WORDS
+
+
+def test_confidence_is_about_right():
+    import numpy as np
+
+    rows = [(label, " ".join(w)) for _, t, label, _ in corpus(200, seed=3) for w in lg.sentences(t)]
+    model = lg.fit(rows)
+    rng = random.Random(8)
+    labeller, sure = lg.Labeller(model), []
+    for lang in PHRASES:
+        for _ in range(150):
+            words = rng.sample(sentence(rng, lang).lower().strip(".").split(), 2)  # short and hard
+            (x, m, _, _), = labeller.label([[words]])[0]
+            sure.append((float(model.confidence(np.array([m]))[0]), lg.LANGS[x] == lang))
+    mean, right = np.mean([c for c, _ in sure]), np.mean([r for _, r in sure])
+    assert abs(mean - right) < 0.2
+
+
+def test_words_are_scored_alike_in_any_batch(model):
+    rng = random.Random(4)
+    docs = [[sentence(rng, lang).lower().strip(".").split()] for lang in PHRASES for _ in range(5)]
+    one = lg.Labeller(model)
+    small = lg.Labeller(model, most_words=10)
+    alone = [lg.Labeller(model).label([d])[0] for d in docs]
+    for many in (one.label(docs), [small.label([d])[0] for d in docs]):
+        for a, b in zip(many, alone):
+            assert [(x[0], x[2], x[3]) for x in a] == [(x[0], x[2], x[3]) for x in b]
