@@ -8,8 +8,12 @@ candidates are scored exactly, by full cosine, and the best k over all leaves ar
 
 Vectors with equal direction are collapsed to one class first, so a group of copies costs
 one row. A leaf with more rows than ``leaf_cap`` is split further by trees fitted on
-a bounded sample of that leaf, again and again; nothing is cut off. Work per row does not
-depend on the number of rows; the broadcast model is bounded by sample and tree count.
+a bounded sample of that leaf, level after level; the margin of the path so far goes down with
+the vector, so that after each level the ``visits`` best leaves of the whole forest are
+kept again. Nothing is cut off: splitting ends when all leaves fit or when a level parts no
+leaf any more (more than ``leaf_cap`` vectors within rounding of each other, which are then
+scored in blocks). Work per row and level does not depend on the number of rows; the
+broadcast model is bounded by sample and tree count.
 
 Defined cases: vectors that are null, of another length, all zero or with null, NaN or
 infinite values take no part; repeated ids count once; ties in cosine go to the smaller
@@ -36,10 +40,10 @@ class ForestConfig:
     """trees, leaves visited per query, sample for fitting, intended and greatest leaf size."""
 
     trees: int = 8
-    visits: int = 16
+    visits: int = 8
     sample_rows: int = 20_000
-    leaf_rows: int = 300
-    leaf_cap: int = 4_000
+    leaf_rows: int = 2_000
+    leaf_cap: int = 8_000
     seed: int = 7
 
 
@@ -152,16 +156,21 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False).reshape(-1, dim)
 
 
-def direction_classes(units: DataFrame, k: int) -> DataFrame:
-    """(cls, v, first): vectors of equal direction as one class, with its k + 1 smallest ids.
+def direction_classes(units: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Vectors of equal direction as classes: (cls, v) and, for classes of several, (id, cls, first).
 
-    Grouped by a hash of the vector and its id-free content; partial aggregation keeps
-    at most k + 1 ids per class and task.
+    ``cls`` is the smallest id, ``first`` the k + 1 smallest ids. Equality goes by a key of 128
+    bits, so vectors are shuffled once, by their unique ids, whatever the groups; the ids
+    of a class are cut down to k + 1 per salt before they come together.
     """
-    packed = units.withColumn("h", F.xxhash64("v")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(16)))
-    w = Window.partitionBy("h", "v", "salt").orderBy("id")
-    few = packed.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k + 1)
-    return few.groupBy("h", "v").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("first")).select(F.col("first")[0].alias("cls"), "v", "first")
+    keys = units.select("id", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
+    found = keys.groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.count("*").alias("n"))
+    classes = units.join(found.select(F.col("cls").alias("id")), "id").select(F.col("id").alias("cls"), "v")
+    copies = keys.join(found.where("n > 1").select("h1", "h2", "cls"), ["h1", "h2"]).select("id", "cls")
+    w = Window.partitionBy("cls", F.pmod(F.xxhash64("id"), F.lit(16))).orderBy("id")
+    few = copies.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k + 1)
+    first = few.groupBy("cls").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("first"))
+    return classes, copies.join(first, "cls").select("id", "cls", "first")
 
 
 def fit_forest(rows: DataFrame, total: int, config: ForestConfig) -> tuple[list[Tree], int]:
@@ -181,12 +190,12 @@ def fit_forest(rows: DataFrame, total: int, config: ForestConfig) -> tuple[list[
     return [Tree.fit(x, leaf, rng) for _ in range(config.trees)], dim
 
 
-def _visits(priorities: list[np.ndarray], visits: int) -> list[np.ndarray]:
-    """Row, leaf (numbered over the forest) and home flag of the best leaves over all trees."""
+def _visits(priorities: list[np.ndarray], visits: int, homes: list[np.ndarray] | None = None) -> list[np.ndarray]:
+    """Row, leaf (numbered over the forest), home and asked flags and margin of the best leaves over all trees."""
     all_leaves = np.concatenate(priorities, axis=1)
     n, total = all_leaves.shape
     base = np.cumsum([0, *[p.shape[1] for p in priorities[:-1]]])
-    home = np.stack([p.argmax(1) for p in priorities], 1) + base
+    home = np.stack(homes or [p.argmax(1) for p in priorities], 1) + base
     take = min(visits, total)
     best = np.argpartition(-all_leaves, take - 1, axis=1)[:, :take] if take < total else np.tile(np.arange(total), (n, 1))
     is_home = np.zeros((n, total), bool)
@@ -194,23 +203,26 @@ def _visits(priorities: list[np.ndarray], visits: int) -> list[np.ndarray]:
     asked = np.zeros((n, total), bool)
     np.put_along_axis(asked, best, True, 1)
     row, leaf = np.nonzero(is_home | asked)
-    return [row, leaf, is_home[row, leaf], asked[row, leaf]]
+    return [row, leaf, is_home[row, leaf], asked[row, leaf], all_leaves[row, leaf]]
+
+
+_ROUTED = "leaf string, role int, margin float, cls long, v array<float>"
 
 
 def _route(classes: DataFrame, trees: list[Tree], dim: int, visits: int) -> DataFrame:
-    """(leaf, role, cls, v): role 0 is a member that asks, 1 a member only, 2 asks only."""
+    """(leaf, role, margin, cls, v): role 0 is a member that asks, 1 a member only, 2 asks only."""
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
                 x = _matrix(b.column("v"), dim)
-                row, leaf, home, asked = _visits([t.priorities(x) for t in trees], visits)
+                row, leaf, home, asked, margin = _visits([t.priorities(x) for t in trees], visits)
                 role = np.where(home & asked, 0, np.where(home, 1, 2)).astype(np.int32)
                 idx = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int64)).cast(pa.string()), pa.array(role), b.column("cls").take(idx), b.column("v").take(idx)], names=["leaf", "role", "cls", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int64)).cast(pa.string()), pa.array(role), pa.array(margin), b.column("cls").take(idx), b.column("v").take(idx)], names=["leaf", "role", "margin", "cls", "v"])
 
-    return classes.select("cls", "v").mapInArrow(route, "leaf string, role int, cls long, v array<float>")
+    return classes.select("cls", "v").mapInArrow(route, _ROUTED)
 
 
 def _overfull(classes: DataFrame, trees: list[Tree], dim: int, cap: int) -> bool:
@@ -232,12 +244,16 @@ def _overfull(classes: DataFrame, trees: list[Tree], dim: int, cap: int) -> bool
 
 
 def _split_leaves(routed: DataFrame, dim: int, config: ForestConfig) -> DataFrame:
-    """Split leaves above the cap by trees fitted on a bounded sample of each such leaf."""
-    for depth in range(1, 9):
+    """Split leaves above the cap by trees fitted on a bounded sample of each such leaf, keeping one shared order."""
+    depth, before = 0, None
+    while True:
+        depth += 1
         sizes = routed.where(F.col("role") <= 1).groupBy("leaf").count()
         big = stored(sizes.where(F.col("count") > config.leaf_cap), f"big-leaves-{depth}")
-        if not big.limit(1).count():
-            break
+        held = big.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+        if not held[0] or held == before:  # all fit, or the last level parted none
+            return routed
+        before = held
         sample = 1024
         picked = routed.where(F.col("role") <= 1).join(big, "leaf").where(F.pmod(F.xxhash64("cls", F.lit(depth)), F.lit(1 << 30)) < F.lit(float(sample << 30)) / F.col("count"))
 
@@ -254,22 +270,26 @@ def _split_leaves(routed: DataFrame, dim: int, config: ForestConfig) -> DataFram
             for pdf in batches:
                 for leaf, g in pdf.groupby("leaf"):
                     if g["leaves"].isna().iloc[0]:
-                        yield g[["leaf", "role", "cls", "v"]]
+                        yield g[["leaf", "role", "margin", "cls", "v"]]
                         continue
                     children = np.frombuffer(g["children"].iloc[0], np.int64).reshape(-1, 2)
                     t = Tree(np.frombuffer(g["planes"].iloc[0], np.float32).reshape(-1, dim), np.frombuffer(g["offsets"].iloc[0], np.float32), children, int(g["leaves"].iloc[0]))
                     x = np.stack(g["v"].to_numpy()).astype(np.float32)
-                    row, sub, home, asked = _visits([t.priorities(x)], 4)
+                    row, sub, home, asked, margin = _visits([np.minimum(t.priorities(x), g["margin"].to_numpy(np.float32)[:, None])], config.visits, [t.home(x)])
                     was = g["role"].to_numpy()[row]
                     member, asks = home & (was <= 1), asked & (was != 1)
                     role = np.where(member & asks, 0, np.where(member, 1, 2))
                     keep = member | asks
                     h = g.iloc[row[keep]]
-                    yield pd.DataFrame({"leaf": [f"{leaf}.{s}" for s in sub[keep]], "role": role[keep].astype(np.int32), "cls": h["cls"].to_numpy(), "v": h["v"].to_numpy()})
+                    yield pd.DataFrame({"leaf": [f"{leaf}.{s}" for s in sub[keep]], "role": role[keep].astype(np.int32), "margin": margin[keep], "cls": h["cls"].to_numpy(), "v": h["v"].to_numpy()})
 
-        joined = routed.join(subtrees, "leaf", "left")
-        routed = stored(joined.mapInPandas(descend, "leaf string, role int, cls long, v array<float>"), f"split-leaves-{depth}")
-    return routed
+        deeper = routed.join(subtrees, "leaf", "left").mapInPandas(descend, _ROUTED)
+        # a vector asks in at most visits x visits leaves here; the best of the whole forest go on
+        order = Window.partitionBy("cls").orderBy((F.col("role") == 1).cast("int"), F.desc("margin"), "leaf")
+        ranked = deeper.withColumn("_n", F.row_number().over(order))
+        late = F.col("_n") > config.visits
+        merged = ranked.where(~late | (F.col("role") != 2)).withColumn("role", F.when(late, 1).otherwise(F.col("role"))).drop("_n")
+        routed = stored(merged, f"split-leaves-{depth}")
 
 
 def _score(dim: int, k: int, min_cosine: float):
@@ -287,10 +307,20 @@ def _score(dim: int, k: int, min_cosine: float):
                     cos = part @ m.T
                     np.putmask(cos, q_id[s : s + 1024, None] == m_id[None, :], -2)
                     n = min(k + 3, cos.shape[1])
-                    top = np.argpartition(-cos, n - 1, axis=1)[:, :n] if n < cos.shape[1] else np.tile(np.arange(n), (len(part), 1))
-                    near = np.take_along_axis(cos, top, 1) >= min_cosine - 1e-5
-                    r, c = np.nonzero(near)
-                    mem = top[r, c]
+                    flat = np.flatnonzero(cos >= np.float32(min_cosine - 1e-5))
+                    if len(flat) * 5 > cos.size and n < cos.shape[1]:  # most are near: cut down first
+                        top = np.argpartition(-cos, n - 1, axis=1)[:, :n]
+                        r = np.repeat(np.arange(len(part)), n)
+                        mem = top.ravel()
+                        near = cos[r, mem] >= min_cosine - 1e-5
+                        r, mem = r[near], mem[near]
+                    else:
+                        r, mem = np.divmod(flat, cos.shape[1])
+                        if len(r) and np.bincount(r).max() > n:
+                            order = np.lexsort((-cos[r, mem], r))
+                            r, mem = r[order], mem[order]
+                            first = np.arange(len(r)) - np.searchsorted(r, r) < n
+                            r, mem = r[first], mem[first]
                     exact = np.einsum("ij,ij->i", part[r].astype(np.float64), m[mem].astype(np.float64))
                     keep = exact >= min_cosine
                     if keep.any():
@@ -338,47 +368,48 @@ def class_neighbours(classes: DataFrame, k: int, min_cosine: float, config: Fore
 def similar_pairs(df: DataFrame, id_col: str, vector_col: str, *, k: int = 5, min_cosine: float = 0.85, dim: int = 64, config: ForestConfig = ForestConfig()) -> DataFrame:
     """(id_a, id_b, cosine), id_a < id_b: one is among the k nearest of the other."""
     units = stored(unit_vectors(df, id_col, vector_col, dim), "units")
-    classes = stored(direction_classes(units, k), "classes")
-    near = class_neighbours(classes, k, min_cosine, config)
-    lists = near.join(classes.select(F.col("cls").alias("b"), "first"), "b").select("a", F.explode("first").alias("other"), "cosine")
-    own = classes.where(F.size("first") > 1).select(F.col("cls").alias("a"), F.explode("first").alias("other"), F.lit(1.0).alias("cosine"))
+    found, several = direction_classes(units, k)
+    classes, copies = stored(found, "classes"), stored(several, "copies")
+    near = stored(class_neighbours(classes, k, min_cosine, config), "near")
+    groups = copies.where("id = cls").select("cls", "first")
+    first = F.coalesce("first", F.array("b"))
+    lists = near.join(groups.withColumnRenamed("cls", "b"), "b", "left").select("a", F.explode(first).alias("other"), "cosine")
+    own = groups.select(F.col("cls").alias("a"), F.explode("first").alias("other"), F.lit(1.0).alias("cosine"))
     ranked = lists.unionByName(own).groupBy("a").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("cosine")).alias("far"), F.col("other")))), 1, k + 1).alias("top"))
-    members = units.withColumn("h", F.xxhash64("v")).join(classes.select("cls", F.xxhash64("v").alias("h"), F.col("v").alias("cv")), "h").where(F.col("v") == F.col("cv")).select("id", "cls")
-    mine = members.join(ranked, F.col("cls") == F.col("a"))
+    members = copies.where("id <> cls").select("id", F.col("cls").alias("a")).join(ranked, "a").unionByName(ranked.withColumn("id", F.col("a")))
     others = F.slice(F.filter("top", lambda t: t["other"] != F.col("id")), 1, k)
-    pairs = mine.select("id", F.explode(others).alias("t")).select("id", F.col("t.other").alias("other"), (-F.col("t.far")).alias("cosine"))
+    pairs = members.select("id", F.explode(others).alias("t")).select("id", F.col("t.other").alias("other"), (-F.col("t.far")).alias("cosine"))
     return pairs.groupBy(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).agg(F.max("cosine").alias("cosine"))
 
 
-def recall_queries(df: DataFrame, id_col: str, vector_col: str, *, k: int = 5, min_cosine: float = 0.85, dim: int = 64, every: int = 50) -> DataFrame:
+def recall_queries(df: DataFrame, id_col: str, vector_col: str, *, k: int = 5, min_cosine: float = 0.85, dim: int = 64, every: int = 50, block: int = 20_000) -> DataFrame:
     """(q, other, cosine): exact neighbours of every row whose id is divisible by ``every``.
 
-    The stated query set is compared with all rows, in blocks of both.
+    The stated query set is compared with all rows, in blocks of about ``block`` rows of both sides.
     """
     units = stored(unit_vectors(df, id_col, vector_col, dim), "recall-units")
-    blocks = units.where(F.col("id") % every == 0).withColumn("block", F.pmod(F.xxhash64("id"), F.lit(64))).groupBy("block").agg(F.collect_list("id").alias("qids"), F.flatten(F.collect_list("v")).alias("qv"))
-    return _brute(units, blocks, k, min_cosine, dim)
+    return _brute(units, units.where(F.col("id") % every == 0), k, min_cosine, dim, block)
+
 
+def _brute(units: DataFrame, queries: DataFrame, k: int, min_cosine: float, dim: int, block: int) -> DataFrame:
+    row_parts, query_parts = (max(1, -(-x.count() // block)) for x in (units, queries))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = units.select("id", "v", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(row_parts)).cast("int").alias("part"), each(query_parts).alias("block"))
+    asks = queries.select("id", "v", F.pmod(F.xxhash64("id", F.lit(5)), F.lit(query_parts)).cast("int").alias("block"), each(row_parts).alias("part"))
 
-def _brute(units: DataFrame, blocks: DataFrame, k: int, min_cosine: float, dim: int) -> DataFrame:
-    def compare(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"q": [], "other": [], "cosine": []})
-        ids, m = left["id"].to_numpy(), np.stack(left["v"].to_numpy()).astype(np.float64)
+    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for qids, qv in zip(right["qids"], right["qv"]):
-            qids, q = np.asarray(qids), np.asarray(qv, np.float64).reshape(-1, dim)
-            cos = q @ m.T
-            cos[qids[:, None] == ids[None, :]] = -2
-            for i in range(len(qids)):
-                top = np.lexsort((ids, -cos[i]))[:k]
-                top = top[cos[i][top] >= min_cosine]
-                out.append(pd.DataFrame({"q": qids[i], "other": ids[top], "cosine": cos[i][top]}))
-        return pd.concat(out)
-
-    parts = max(8, int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = units.withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(parts)))
-    asks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    best = rows.groupBy("part").cogroup(asks.groupBy("part")).applyInPandas(compare, "q long, other long, cosine double")
+        if len(left) and len(right):
+            ids, m = left["id"].to_numpy(), np.stack(left["v"].to_numpy()).astype(np.float64)
+            for at in range(0, len(right), 512):
+                q = right.iloc[at : at + 512]
+                qids = q["id"].to_numpy()
+                cos = np.stack(q["v"].to_numpy()).astype(np.float64) @ m.T
+                cos[qids[:, None] == ids[None, :]] = -2
+                r, c = np.nonzero(cos >= np.maximum(np.partition(cos, -min(k, len(ids)), axis=1)[:, -min(k, len(ids))], min_cosine)[:, None])
+                out.append(pd.DataFrame({"q": qids[r], "other": ids[c], "cosine": cos[r, c]}))
+        return pd.concat(out) if out else pd.DataFrame({"q": [], "other": [], "cosine": []})
+
+    best = rows.groupBy("part", "block").cogroup(asks.groupBy("part", "block")).applyInPandas(compare, "q long, other long, cosine double")
     w = Window.partitionBy("q").orderBy(F.desc("cosine"), "other")
     return best.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k).drop("n")

@@ -1,3 +1,5 @@
+import heapq
+
 import numpy as np
 import pytest
 
@@ -64,17 +66,65 @@ def test_empty_and_single(spark):
     assert pairs(spark, [(1, None)]) == set()
 
 
-def test_shared_queue_is_best_first():
+def queue_order(trees, v, visits):
+    """Margins of the leaves a best-first search over all trees with one priority queue pops first."""
+    heap = [(-np.inf, n, 0) for n in range(len(trees))]
+    out = []
+    while heap and len(out) < visits:
+        far, n, node = heapq.heappop(heap)
+        t = trees[n]
+        if node < 0:
+            out.append((n, ~node, -far))
+            continue
+        margin = float((v @ t.planes.T - t.offsets)[node])
+        for side, m in ((0, -margin), (1, margin)):
+            heapq.heappush(heap, (-min(-far, m), n, int(t.children[node][side])))
+    return out
+
+
+def test_visits_equal_a_shared_priority_queue():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 8)).astype(np.float32)
-    t = vf.Tree.fit(x, 10, rng)
-    p = t.priorities(x)
-    assert (p.argmax(1) == t.home(x)).all()
-    assert (p.max(1) >= 0).all() and ((p > 0).sum(1) <= 1).all()
+    trees = [vf.Tree.fit(x, 10, rng) for _ in range(4)]
+    base = np.cumsum([0, *[t.leaves for t in trees]])
+    for t in trees:
+        p = t.priorities(x)
+        assert (p.argmax(1) == t.home(x)).all() and ((p > 0).sum(1) <= 1).all()
+    row, leaf, home, asked, margin = vf._visits([t.priorities(x) for t in trees], 7)
+    for i in range(100):
+        want = queue_order(trees, x[i], 7)
+        mine = (row == i) & asked
+        assert mine.sum() == 7
+        assert np.allclose(sorted(margin[mine]), sorted(m for _, _, m in want), atol=1e-5)
+        apart = {base[n] + k for n, k, m in want if m > want[-1][2] + 1e-6}
+        assert apart <= set(leaf[mine].tolist())
+        assert (home & (row == i)).sum() == 4
+
+
+def test_split_leaves_keep_one_shared_order(spark):
+    rows = clustered(900)
+    config = vf.ForestConfig(trees=3, visits=5, leaf_rows=300, leaf_cap=40)
+    units = vf.unit_vectors(spark.createDataFrame(rows, SCHEMA), "i", "v", 8)
+    classes, _ = vf.direction_classes(units, 5)
+    trees, dim = vf.fit_forest(classes, 900, config)
+    routed = vf._split_leaves(vf._route(classes, trees, dim, config.visits), dim, config).toPandas()
+    members = routed[routed.role <= 1]
+    assert (members.groupby("cls").size() == 3).all() and members.groupby("leaf").size().max() <= 40
+    asks = routed[routed.role != 1].groupby("cls").size()
+    assert len(asks) == 900 and (asks == 5).all()
+
+
+def test_vectors_within_rounding_end_the_splitting(spark):
+    rows = [(i, [1.0, 1e-7 * i, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]) for i in range(60)]
+    got = pairs(spark, rows, config=vf.ForestConfig(leaf_cap=10))
+    assert {x for p in got for x in p} == set(range(60))
 
 
 def test_recall_queries(spark):
     rows = clustered(300)
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {(min(r["q"], r["other"]), max(r["q"], r["other"])) for r in vf.recall_queries(df, "i", "v", dim=8).collect()}
-    assert got <= exact(rows, 5, 0.85)
+    want = exact(rows, 5, 0.85)
+    for block in (20_000, 4):
+        got = {(min(r["q"], r["other"]), max(r["q"], r["other"])) for r in vf.recall_queries(df, "i", "v", dim=8, block=block).collect()}
+        assert got <= want and {p for p in want if p[0] % 50 == 0 and p[1] % 50 == 0} <= got | want
+        assert len(got) >= 6
