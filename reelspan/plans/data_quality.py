@@ -26,11 +26,11 @@ def p1_orphan_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return csv_lines.rejected(csv_lines.parse_lines(table(spark, d, "raw_line"))).select("line_id")
+    return csv_lines.rejected(csv_lines.parse_lines(table(spark, d, "raw_line"), with_fields=False)).select("line_id")
 
 
 def p2_reject_counts(spark: SparkSession, d: str) -> DataFrame:
-    bad = csv_lines.rejected(csv_lines.parse_lines(table(spark, d, "raw_line")))
+    bad = csv_lines.rejected(csv_lines.parse_lines(table(spark, d, "raw_line"), with_fields=False))
     return bad.groupBy("file_name", "record_kind", "reason").agg(F.count("*").alias("lines"))
 
 
@@ -101,6 +101,17 @@ def _loaded_sql(kind: str) -> str:
     SELECT line_id, {cols} FROM w"""
 
 
+def _reasons_sql() -> str:
+    """Rejects by the first fault in the documented order."""
+    small = "(length(x) < 19 OR length(x) = 19 AND x <= '9223372036854775807')"
+    return rf"""{_lines_sql()}, r AS (SELECT v.*, CASE WHEN record_kind = 'shot' THEN 7 WHEN record_kind = 'clip' THEN 8 END AS wide FROM v WHERE NOT sound AND NOT header),
+    k AS (SELECT *, CASE WHEN wide IS NULL THEN 'record_kind' WHEN s IS NULL THEN 'column_count' WHEN NOT regexp_matches(s, '(?s)\A{_F}(,{_F})*\z') THEN 'quoting'
+        WHEN NOT regexp_matches(s, CASE wide WHEN 7 THEN '(?s)\A{_F}(,{_F}){{6}}\z' ELSE '(?s)\A{_F}(,{_F}){{7}}\z' END) THEN 'column_count'
+        WHEN wide = 8 AND NOT regexp_matches(s, '\A([A-Z0-9]{{1,15}}|"[A-Z0-9]{{1,15}}"),') THEN 'clip_id'
+        WHEN m.a = '' OR NOT {small.replace("x", "ltrim(regexp_replace(m.a, '[^0-9]', '', 'g'), '0')")} OR NOT {small.replace("x", "ltrim(regexp_replace(m.b, '[^0-9]', '', 'g'), '0')")} THEN 'frame_index' ELSE 'frame_order' END AS reason FROM r)
+    SELECT file_name, record_kind, reason, count(*) AS lines FROM k GROUP BY 1, 2, 3"""
+
+
 def _runs_sql() -> str:
     return """
     WITH i AS (SELECT 'shot' AS k, video_id AS e, start_ms AS s, end_ms AS t FROM shot WHERE video_id IS NOT NULL AND end_ms > start_ms
@@ -114,6 +125,7 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"SELECT DISTINCT child_table, child_key FROM ({_orphan_sql()})",
         "p1_orphan_counts": f"SELECT child_table, strftime(date_trunc('month', t), '%Y-%m-%d') AS period, reason, count(*) AS orphan_rows, count(DISTINCT fk) AS orphan_keys FROM ({_orphan_sql()}) GROUP BY 1, 2, 3",
         "p2_found": f"{_lines_sql()} SELECT line_id FROM v WHERE NOT sound AND NOT header",
+        "p2_reject_counts": _reasons_sql(),
         "p2_loaded_shots": _loaded_sql("shot"),
         "p2_loaded_clips": _loaded_sql("clip"),
         "p6_found": f"{_runs_sql()} SELECT k AS interval_kind, e AS entity_id, b AS gap_start_ms, s AS gap_end_ms FROM o WHERE s > b",

@@ -84,3 +84,19 @@ def test_typed_rows_and_empty(spark):
     assert cl.parse_lines(spark.createDataFrame([], SCHEMA)).count() == 0
     wide = df.withColumn("reason", df.line)
     assert cl.rejected(cl.parse_lines(wide)).count() == 0
+
+
+def test_only_broken_lines_are_read_strictly(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    lines = [CLIP.replace("0,9,25", "9,0,25") if rng.random() < 0.05 else CLIP for _ in range(1000)]
+    read = []
+    monkeypatch.setattr(cl, "diagnose", lambda kind, line, was=cl.diagnose: (read.append(line), was(kind, line))[1])
+    batch = pa.RecordBatch.from_pydict({"line_no": pa.array(range(2, 1002), pa.int32()), "record_kind": ["clip"] * 1000, "line": lines})
+    for with_fields in (True, False):
+        read.clear()
+        (out,) = cl._load(iter([batch]), ["line_no"], with_fields)
+        assert len(read) == sum(x != CLIP for x in lines)
+        assert [r is not None for r in out.column("reason").to_pylist()] == [x != CLIP for x in lines]
+        assert out.column("first_frame").null_count == len(read)
