@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -87,27 +87,44 @@ def analyzed(c: Column) -> Column:
     return F.array_distinct(F.concat(words, bare, shingles(words), shingles(bare)))
 
 
-def clock_ms(c: Column) -> Column:
-    """HH:MM:SS:mmm as milliseconds; null where the format is broken or a part is out of range."""
-    ok = c.rlike(r"^\d{1,}:\d{1,2}:\d{1,2}:\d{1,3}$")
-    part = lambda i: F.split(c, ":")[i].cast("long")
-    value = part(0) * 3_600_000 + part(1) * 60_000 + part(2) * 1000 + part(3)
-    return F.when(ok, F.when((part(1) < 60) & (part(2) < 60), value))
+def clock_ms(c: Column, *, strict: bool = True) -> Column:
+    """Hours:minutes:seconds:milliseconds as milliseconds; parts may exceed their usual range (00:75:00:000).
+
+    Anything but four whole numbers, or a negative one, fails the job; null with ``strict`` off.
+    """
+    part = lambda i: F.get(F.split(c, ":"), F.lit(i)).try_cast("long")
+    parts = [part(i) for i in range(4)]
+    ok = (F.size(F.split(c, ":")) == 4) & reduce(lambda a, b: a & b, [p.isNotNull() & (p >= 0) for p in parts])
+    value = parts[0] * 3_600_000 + parts[1] * 60_000 + parts[2] * 1000 + parts[3]
+    bad = F.raise_error(F.concat(F.lit("not hours:minutes:seconds:milliseconds: "), c)).cast("long") if strict else F.lit(None).cast("long")
+    return F.when(c.isNull(), F.lit(None).cast("long")).when(F.coalesce(ok, F.lit(False)), value).otherwise(bad)
+
+
+def _fenced(c: Column) -> Column:
+    """The first object that stands alone between two fences, or null."""
+    between = F.slice(F.split(c, "```"), 2, F.greatest(F.size(F.split(c, "```")) - 2, F.lit(0)))
+    bare = F.transform(between, lambda x: F.btrim(F.regexp_replace(x, r"\Ajson", ""), F.lit(" \t\n\r\f")))
+    return F.get(F.filter(bare, lambda x: x.startswith("{") & x.endswith("}")), F.lit(0))
+
+
+def _braced(c: Column) -> Column:
+    """From the first opening to the last closing brace, or null."""
+    opens, closes = F.instr(c, "{"), F.length(c) - F.instr(F.reverse(c), "}") + 1
+    return F.when((opens > 0) & (F.instr(c, "}") > 0) & (closes > opens), F.substring(c, opens, closes - opens + 1))
 
 
 def caption_json(c: Column) -> Column:
     """The JSON text of a caption: a fenced block first, else the outermost braces; null if it does not parse."""
-    fenced = F.regexp_extract(c, r"(?s)```(?:json)?\s*(\{.*?\})\s*```", 1)
-    bare = F.regexp_extract(c, r"(?s)(\{.*\})", 1)
-    picked = F.coalesce(F.nullif(fenced, F.lit("")), F.nullif(bare, F.lit("")))
+    picked = F.coalesce(_fenced(c), _braced(c))
     return F.when(F.try_parse_json(picked).isNotNull(), picked)
 
 
 def caption_text(c: Column) -> Column:
     """What stands before the JSON; the whole text if there is no JSON or nothing before it."""
-    head = F.regexp_replace(F.regexp_replace(c, r"(?s)```(?:json)?\s*\{.*$", ""), r"(?s)\{.*\}.*$", "")
-    strip = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
-    return F.coalesce(F.nullif(strip(head), F.lit("")), strip(c))
+    blanks = F.lit(" \t\n\r\f")
+    at = F.when(_fenced(c).isNotNull(), F.instr(c, "```")).when(_braced(c).isNotNull(), F.instr(c, "{"))
+    head = F.btrim(F.substring(c, F.lit(1), at - 1), blanks)
+    return F.coalesce(F.nullif(head, F.lit("")), F.btrim(c, blanks))
 
 
 def has_keys(json_text: Column, keys: tuple[str, ...] = ("scene", "objects", "actions")) -> Column:

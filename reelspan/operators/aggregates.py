@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspan.functions import geometry, text, vectors
+from reelspan.operators import blocks
 
 
 def track_summary(observations: DataFrame, keys: list[str], *, time: str = "timestamp_ms", frame: str = "frame_idx", confidence: str = "confidence") -> DataFrame:
@@ -125,14 +128,39 @@ def median_heights(df: DataFrame, key: str, box: geometry.Box) -> DataFrame:
     return df.groupBy(key).agg(F.median(box.y2 - box.y1).alias("median_height"))
 
 
-def silhouette(points: DataFrame, *, part: str, point: str, cluster: str, vector: str) -> DataFrame:
+def silhouette(points: DataFrame, *, part: str, point: str, cluster: str, vector: str, rows: int = 4_000) -> DataFrame:
     """(part, silhouette): mean silhouette of clustered points per part.
 
-    Pairs are compared within a part only, and a part is a bounded candidate set.
+    A point alone in its cluster has distance 0 within it. A part of one cluster, or of as
+    many clusters as points, scores minus infinity. Points are compared in blocks of
+    about ``rows``; a task passes on one sum per point and cluster. Null vectors take no part.
     """
-    a = points.select(part, F.col(point).alias("_p"), F.col(cluster).alias("_c"), F.col(vector).alias("_v"))
-    b = points.select(part, F.col(point).alias("_q"), F.col(cluster).alias("_d"), F.col(vector).alias("_w"))
-    dist = a.join(b, part).where("_p <> _q").groupBy(part, "_p", "_c", "_d").agg(F.avg(vectors.euclidean(F.col("_v"), F.col("_w"))).alias("_m"))
-    per = dist.groupBy(part, "_p").agg(F.max(F.when(F.col("_c") == F.col("_d"), F.col("_m"))).alias("_a"), F.min(F.when(F.col("_c") != F.col("_d"), F.col("_m"))).alias("_b"))
-    score = F.when(F.col("_a").isNull() | F.col("_b").isNull() | (F.greatest("_a", "_b") == 0), F.lit(0.0)).otherwise((F.col("_b") - F.col("_a")) / F.greatest("_a", "_b"))
-    return per.groupBy(part).agg(F.avg(score).alias("silhouette"))
+    src = points.where(F.col(vector).isNotNull()).select(F.col(part).alias("_name"), F.xxhash64(part).alias("_part"), F.col(point).cast("long").alias("_p"), F.xxhash64(cluster).alias("_c"), F.col(vector).cast("array<double>").alias("_v"))
+
+    def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"_part": [], "_p": [], "_c": [], "_d": [], "_s": [], "_n": []})
+        x, y = np.stack(a["_v"].to_numpy()), np.stack(b["_v"].to_numpy())
+        names, code = np.unique(b["_c"].to_numpy(), return_inverse=True)
+        one = np.zeros((len(b), len(names)))
+        one[np.arange(len(b)), code] = 1
+        total = np.zeros((len(a), len(names)))
+        for s in range(0, len(a), 256):
+            square = (x[s : s + 256] ** 2).sum(1)[:, None] + (y**2).sum(1) - 2 * x[s : s + 256] @ y.T
+            total[s : s + 256] = np.sqrt(np.maximum(square, 0)) @ one
+        n = len(names)
+        rep = lambda c: np.repeat(a[c].to_numpy(), n)
+        return pd.DataFrame({"_part": rep("_part"), "_p": rep("_p"), "_c": rep("_c"), "_d": np.tile(names, len(a)), "_s": total.ravel(), "_n": np.tile(one.sum(0), len(a))})
+
+    bare = src.drop("_name")
+    per_block = blocks.in_blocks(bare, bare, sums, "_part long, _p long, _c long, _d long, _s double, _n double", left_id="_p", right_id="_p", on=("_part",), rows=rows)
+    dist = per_block.groupBy("_part", "_p", "_c", "_d").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    own = F.when(F.col("_c") == F.col("_d"), F.when(F.col("_n") > 1, F.col("_s") / (F.col("_n") - 1)).otherwise(F.lit(0.0)))
+    other = F.when(F.col("_c") != F.col("_d"), F.col("_s") / F.col("_n"))
+    per = dist.groupBy("_part", "_p").agg(F.max(own).alias("_a"), F.min(other).alias("_b"), F.count("*").alias("_k"))
+    longest = F.greatest("_a", "_b")
+    score = F.when(longest == 0, F.lit(0.0)).otherwise((F.col("_b") - F.col("_a")) / longest)
+    mean = per.groupBy("_part").agg(F.avg(score).alias("_m"), F.max("_k").alias("_k"), F.count("*").alias("_n"))
+    none = (F.col("_k") < 2) | (F.col("_k") >= F.col("_n"))
+    named = mean.join(src.select("_part", "_name").distinct(), "_part")
+    return named.select(F.col("_name").alias(part), F.when(none, F.lit(float("-inf"))).otherwise(F.col("_m")).alias("silhouette"))

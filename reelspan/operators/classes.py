@@ -116,14 +116,19 @@ def with_canonical(rows: DataFrame, index: str = "class_index") -> DataFrame:
     return joined.withColumn("canonical_id", F.coalesce("canonical_id", bad))
 
 
-def check_model_names(names: dict[int, str]) -> None:
-    """Raise unless a model has exactly the 80 expected classes in order."""
-    expected = {i: n for i, n, _, _ in canonical_rows()}
-    if set(names) != set(expected):
-        raise ValueError("the model must have the classes 0 to 79")
-    for i, n in expected.items():
-        if names[i].strip().casefold() != n.casefold():
-            raise ValueError(f"class {i} is {names[i]!r}, not {n!r}")
+def model_name_faults(spark: SparkSession, names: dict[int, str]) -> DataFrame:
+    """(class_index, model_name, given): classes of a model that are missing, surplus or named otherwise."""
+    given = spark.createDataFrame(list(names.items()), "class_index int, given string")
+    both = canonical_classes(spark).select("class_index", "model_name").join(given, "class_index", "full")
+    plain = lambda c: F.lower(F.trim(c))
+    return both.where(~plain("model_name").eqNullSafe(plain("given")))
+
+
+def check_model_names(spark: SparkSession, names: dict[int, str]) -> None:
+    """Raise unless a model has exactly the expected classes."""
+    wrong = model_name_faults(spark, names).orderBy("class_index").limit(5).collect()
+    if wrong:
+        raise ValueError(f"unexpected classes: {[tuple(r) for r in wrong]}")
 
 
 def index_class_id(index: Column) -> Column:

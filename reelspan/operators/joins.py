@@ -86,11 +86,21 @@ def chained_video_id(df: DataFrame, frames: DataFrame, shots: DataFrame, clips:
     return df.join(f, "frame_id", "left").join(s, "shot_id", "left").join(c, "clip_id", "left").withColumn("video_id", F.coalesce("_vf", "_vs", "_vc")).drop("_vf", "_vs", "_vc")
 
 
-def query_scores(queries: DataFrame, corpus: DataFrame, score: Column) -> DataFrame:
-    """Every stated query against every corpus row. The queries are broadcast after a check of their number."""
-    if queries.limit(10_001).count() > 10_000:
-        raise ValueError("more than 10 000 queries: run them in blocks")
-    return corpus.crossJoin(F.broadcast(queries)).withColumn("score", score)
+def hamming_pairs(rows: DataFrame, *, key: str, row_id: str, hash_col: str, limit: int) -> DataFrame:
+    """(key, a, b, bits, copies_a, copies_b): pairs of different 64-bit hashes of a key within ``limit`` bits.
+
+    A hash stands for all rows that have it: a and b are its smallest ids, ``copies`` says
+    how many rows there are. Hashes within the limit agree in at least one of limit + 1 bit
+    stretches, so only these are joined; no key is compared pair by pair.
+    """
+    classes = rows.groupBy(key, hash_col).agg(F.min(row_id).alias("_id"), F.count("*").alias("_n"))
+    cuts = [64 * i // (limit + 1) for i in range(limit + 2)]
+    bands = F.array(*[F.shiftrightunsigned(F.shiftleft(hash_col, 64 - hi), 64 - hi + lo) for lo, hi in zip(cuts, cuts[1:])])
+    listed = classes.select(key, "_id", "_n", F.col(hash_col).alias("_h"), F.posexplode(bands).alias("_band", "_value"))
+    a, b = (listed.select(key, "_band", "_value", *[F.col(c).alias(f"{c}_{x}") for c in ("_id", "_n", "_h")]) for x in ("a", "b"))
+    differing = F.bit_count(F.col("_h_a").bitwiseXOR(F.col("_h_b"))).cast("int")
+    near = a.join(b, [key, "_band", "_value"]).where("_id_a < _id_b").withColumn("bits", differing).where(F.col("bits") <= limit)
+    return near.select(key, F.col("_id_a").alias("a"), F.col("_id_b").alias("b"), "bits", F.col("_n_a").alias("copies_a"), F.col("_n_b").alias("copies_b")).distinct()
 
 
 def key_conflicts(df: DataFrame, *keys: str) -> DataFrame:

@@ -205,7 +205,8 @@ def any_flag(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(
     """WITH p AS (SELECT vec_id % 10 AS part, vec_id, label % 3 AS cl, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), q AS (SELECT a.part, a.vec_id, a.cl, b.cl AS d, avg(list_distance(a.v, b.v)) AS m FROM p a JOIN p b ON a.part = b.part AND a.vec_id <> b.vec_id GROUP BY 1, 2, 3, 4),
-    s AS (SELECT part, vec_id, max(CASE WHEN cl = d THEN m END) AS a, min(CASE WHEN cl <> d THEN m END) AS b FROM q GROUP BY 1, 2) SELECT part, round(avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM s GROUP BY 1"""
+    s AS (SELECT part, vec_id, coalesce(max(CASE WHEN cl = d THEN m END), 0) AS a, min(CASE WHEN cl <> d THEN m END) AS b FROM q GROUP BY 1, 2), k AS (SELECT part, count(DISTINCT cl) AS k, count(*) AS n FROM p GROUP BY 1)
+    SELECT k.part, round(CASE WHEN any_value(k) < 2 OR any_value(k) >= any_value(n) THEN CAST('-infinity' AS DOUBLE) ELSE avg(CASE WHEN greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) END, 6) AS silhouette FROM k LEFT JOIN s ON k.part = s.part GROUP BY 1"""
 )
 def silhouette_score(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings").select((F.col("vec_id") % 10).alias("part"), "vec_id", (F.col("label") % 3).alias("cl"), F.col("embedding").alias("v"))
@@ -320,13 +321,12 @@ def reading_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    f"""WITH h AS (SELECT shot_id, candidate_id, xor(frame_idx * 2654435761, frame_idx) AS h FROM {c.CANDIDATES} WHERE shot_id IS NOT NULL AND frame_idx IS NOT NULL)
-    SELECT a.candidate_id AS a, b.candidate_id AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS bits FROM h a JOIN h b ON a.shot_id = b.shot_id AND a.candidate_id < b.candidate_id WHERE bit_count(xor(a.h, b.h)) <= 8"""
+    f"""WITH h AS (SELECT shot_id, xor(frame_idx * 2654435761, frame_idx) AS h, min(candidate_id) AS i, count(*) AS n FROM {c.CANDIDATES} WHERE shot_id IS NOT NULL AND frame_idx IS NOT NULL GROUP BY 1, 2)
+    SELECT a.shot_id, a.i AS a, b.i AS b, CAST(bit_count(xor(a.h, b.h)) AS INTEGER) AS bits, a.n AS copies_a, b.n AS copies_b FROM h a JOIN h b ON a.shot_id = b.shot_id AND a.i < b.i WHERE bit_count(xor(a.h, b.h)) <= 8"""
 )
 def near_duplicate_hash_pairs(spark: SparkSession, d: str) -> DataFrame:
     h = c.candidates(spark, d).where("shot_id IS NOT NULL AND frame_idx IS NOT NULL").select("shot_id", "candidate_id", (F.col("frame_idx") * 2654435761).bitwiseXOR(F.col("frame_idx")).alias("h"))
-    a, b = (h.select("shot_id", F.col("candidate_id").alias(x), F.col("h").alias(f"h{x}")) for x in ("a", "b"))
-    return a.join(b, "shot_id").where("a < b").select("a", "b", geometry.hamming(F.col("ha"), F.col("hb")).cast("int").alias("bits")).where("bits <= 8")
+    return joins.hamming_pairs(h, key="shot_id", row_id="candidate_id", hash_col="h", limit=8)
 
 
 @_query()
@@ -407,18 +407,23 @@ def analyzer_shingles(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(r"""WITH l AS (SELECT doc_id, unnest(regexp_extract_all(text, '\[([0-9]+:[0-9]+:[0-9]+:[0-9]+)\]', 1)) AS s FROM documents)
-    SELECT doc_id, s, CASE WHEN CAST(split_part(s, ':', 2) AS BIGINT) < 60 AND CAST(split_part(s, ':', 3) AS BIGINT) < 60 THEN CAST(split_part(s, ':', 1) AS BIGINT) * 3600000 + CAST(split_part(s, ':', 2) AS BIGINT) * 60000 + CAST(split_part(s, ':', 3) AS BIGINT) * 1000 + CAST(split_part(s, ':', 4) AS BIGINT) END AS ms FROM l""")
+    SELECT doc_id, s, CAST(split_part(s, ':', 1) AS BIGINT) * 3600000 + CAST(split_part(s, ':', 2) AS BIGINT) * 60000 + CAST(split_part(s, ':', 3) AS BIGINT) * 1000 + CAST(split_part(s, ':', 4) AS BIGINT) AS ms FROM l""")
 def timestamp_parse(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\[([0-9]+:[0-9]+:[0-9]+:[0-9]+)\]"), F.lit(1))).alias("s"))
     return t.withColumn("ms", text.clock_ms(F.col("s")))
 
 
-@_query(r"""WITH p AS (SELECT doc_id, coalesce(nullif(regexp_extract(text, '(?s)```(?:json)?\s*(\{.*?\})\s*```', 1), ''), nullif(regexp_extract(text, '(?s)(\{.*\})', 1), '')) AS j FROM documents WHERE source = 'caption' AND text IS NOT NULL)
-    SELECT doc_id, json_valid(j) AND j IS NOT NULL AS has_json, coalesce(json_valid(j) AND list_has_all(json_keys(j), ['scene', 'objects', 'actions']), false) AS complete, CASE WHEN json_valid(j) THEN json_extract_string(j, '$.scene') END AS scene FROM p""")
+_BLANKS = "' ' || chr(9) || chr(10) || chr(12) || chr(13)"
+
+
+@_query(f"""WITH t AS (SELECT doc_id, text, list_transform(string_split(text, '```'), lambda x: trim(CASE WHEN starts_with(x, 'json') THEN substr(x, 5) ELSE x END, {_BLANKS})) AS f FROM documents WHERE source = 'caption' AND text IS NOT NULL),
+    p AS (SELECT doc_id, text, coalesce(list_filter(f[2:len(f) - 1], lambda x: starts_with(x, '{{') AND ends_with(x, '}}'))[1], CASE WHEN instr(text, '{{') > 0 AND instr(reverse(text), '}}') > 0 AND length(text) - instr(reverse(text), '}}') + 1 > instr(text, '{{') THEN substr(text, instr(text, '{{'), length(text) - instr(reverse(text), '}}') + 2 - instr(text, '{{')) END) AS j FROM t)
+    SELECT doc_id, json_valid(j) AND j IS NOT NULL AS has_json, coalesce(json_valid(j) AND list_has_all(json_keys(j), ['scene', 'objects', 'actions']), false) AS complete, CASE WHEN json_valid(j) THEN json_extract_string(j, '$.scene') END AS scene,
+      trim(CASE WHEN j IS NULL THEN text WHEN trim(substr(text, 1, instr(text, '{{') - 1), {_BLANKS}) = '' THEN text ELSE regexp_replace(substr(text, 1, instr(text, '{{') - 1), '```(json)?\\s*\\z', '') END, {_BLANKS}) AS said FROM p""")
 def caption_parse(spark: SparkSession, d: str) -> DataFrame:
     j = text.caption_json(F.col("text"))
-    p = table(spark, d, "documents").where("source = 'caption' AND text IS NOT NULL").select("doc_id", j.alias("j"))
-    return p.select("doc_id", F.col("j").isNotNull().alias("has_json"), text.has_keys(F.col("j")).alias("complete"), F.get_json_object("j", "$.scene").alias("scene"))
+    p = table(spark, d, "documents").where("source = 'caption' AND text IS NOT NULL").select("doc_id", j.alias("j"), text.caption_text(F.col("text")).alias("said"))
+    return p.select("doc_id", F.col("j").isNotNull().alias("has_json"), text.has_keys(F.col("j")).alias("complete"), F.get_json_object("j", "$.scene").alias("scene"), "said")
 
 
 @_query(f"SELECT video_id, len(list_filter(keywords, lambda x: trim(x) <> '')) AS kept, nullif(array_to_string(list_filter(keywords, lambda x: trim(x) <> ''), ','), '') AS joined FROM {c.VIDEOS} WHERE keywords IS NOT NULL")

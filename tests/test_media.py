@@ -40,6 +40,99 @@ def test_time_keyframes_goldens():
     assert len(many) == 5 and all(b - a > 10 for a, b in zip(many, many[1:]))
 
 
+def test_time_keyframes_keep_twice_the_gap_from_chosen_frames():
+    assert selectors.time_keyframes(0, 99, 15_000, set(), min_gap=10)[:2] == [8, 29]
+    # a shot that is full: the first frame that neither exists nor lies near a chosen one
+    assert selectors.time_keyframes(0, 20, 5_000, {10}, min_gap=10) == [0, 11]
+    assert selectors.time_keyframes(0, 9, 2_600, {4}, min_gap=20) == [0]
+    assert selectors.time_keyframes(100, 199, 2_600, {149}, min_gap=10) == [125]
+
+
+def brute_time_keyframes(start, end, dur, existing, gap):
+    n, target = end - start + 1, 1 if dur < 2500 else min(1 + dur // 2500, 6)
+    have = sum(start <= f <= end for f in existing)
+    if have >= target:
+        return []
+    forbidden, out = set(existing), []
+    for i in range(target):
+        t = start + int((2 * i + 1) * n / (2 * target))
+        free = [f for f in range(start, end + 1) if not any(f + o in forbidden for o in range(-gap, gap + 1))]
+        if not free:
+            free = [f for f in range(start, end + 1) if f not in forbidden][:1]
+        if free:
+            f = min(free, key=lambda f: (abs(f - t), -f))
+            out.append(f)
+            forbidden |= set(range(f - gap, f + gap + 1))
+        if len(out) >= min(5, target - have):
+            break
+    return sorted(out)
+
+
+def test_time_keyframes_against_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        start = int(rng.integers(0, 50))
+        end = start + int(rng.integers(0, 120))
+        existing = {int(x) for x in rng.integers(0, 180, rng.integers(0, 6))}
+        dur, gap = int(rng.integers(1, 20_000)), int(rng.integers(0, 14))
+        assert selectors.time_keyframes(start, end, dur, existing, min_gap=gap) == brute_time_keyframes(start, end, dur, existing, gap)
+
+
+def test_cluster_goldens():
+    two = np.array([[0.0, 0.0], [1.0, 0.0]])
+    assert selectors.cluster_pick(two, most=5) == [0]  # no usable clustering: the one nearest the mean
+    assert selectors.cluster_pick(np.array([[0.0, 0.0], [1.0, 0.0], [0.4, 0.0]]), most=1) == [2]
+    assert selectors.cluster_pick(np.ones((4, 2)), most=5) == [0]
+    assert selectors.cluster_pick(np.array([[3.0, 1.0]]), most=5) == [0] and selectors.cluster_pick(np.zeros((0, 2)), most=5) == []
+    # a far point alone in its cluster counts fully
+    assert selectors._mean_silhouette(selectors._distances(*[np.array([[0.0], [0.0], [9.0]])] * 2), np.array([0, 0, 1])) == 1
+    assert selectors._mean_silhouette(np.zeros((2, 2)), np.array([0, 1])) == -np.inf
+
+
+def test_silhouette_in_blocks(spark):
+    rng = np.random.default_rng(2)
+    rows = [(p, i, int(rng.integers(0, 3)), [float(x) for x in rng.normal(size=4)]) for p in range(2) for i in range(40)] + [(7, 900, 0, [1.0] * 4), (7, 901, 1, [2.0] * 4), (8, 902, 0, [1.0] * 4), (8, 903, 0, None)]
+    df = spark.createDataFrame(rows, "p int, i long, c int, v array<double>")
+    got = [{r["p"]: r["silhouette"] for r in aggregates.silhouette(df, part="p", point="i", cluster="c", vector="v", rows=n).collect()} for n in (4_000, 7)]
+    assert got[0].keys() == got[1].keys() == {0, 1, 7, 8} and got[0][7] == got[1][8] == float("-inf")
+    for p in (0, 1):
+        x, label = np.array([r[3] for r in rows if r[0] == p]), np.array([r[2] for r in rows if r[0] == p])
+        assert got[0][p] == pytest.approx(selectors._mean_silhouette(selectors._distances(x, x), label)) == pytest.approx(got[1][p])
+
+
+def test_top_k_in_blocks_equals_broadcast(spark):
+    rng = np.random.default_rng(3)
+    make = lambda n, names: spark.createDataFrame([(i, [float(x) for x in rng.integers(0, 3, 5)]) for i in range(n)] + [(999, None)], names)
+    q, e = make(9, "query_id long, query_vector array<float>"), make(60, "item_id long, vector array<float>")
+    few = vector_search.exact_top_k(q, e, 4).toPandas().sort_values(["query_id", "rank"]).reset_index(drop=True)
+    many = vector_search.exact_top_k(q, e, 4, broadcast_queries=2).toPandas().sort_values(["query_id", "rank"]).reset_index(drop=True)
+    assert few.equals(many) and len(few) == 36 and few.groupby("query_id").score.is_monotonic_decreasing.all()
+    assert vector_search.exact_top_k(q.limit(0), e, 4).count() == 0
+
+
+def test_hamming_pairs(spark):
+    rng = np.random.default_rng(4)
+    base = [int(x) for x in rng.integers(-(2**63), 2**63 - 1, 6)]
+    rows = [("s", i, base[i % 6] ^ sum(1 << int(b) for b in rng.choice(63, rng.integers(0, 7), replace=False))) for i in range(60)] + [("s", 60 + i, base[0]) for i in range(5)] + [("t", 99, base[0]), (None, 98, base[0])]
+    got = {(r["a"], r["b"], r["bits"], r["copies_a"], r["copies_b"]) for r in joins.hamming_pairs(spark.createDataFrame(rows, "k string, i long, h long"), key="k", row_id="i", hash_col="h", limit=8).collect()}
+    classes = {}
+    for k, i, h in rows:
+        if k == "s":
+            classes.setdefault(h, []).append(i)
+    reps = sorted((min(v), h, len(v)) for h, v in classes.items())
+    bits = lambda x, y: ((x ^ y) & (2**64 - 1)).bit_count()
+    assert got == {(a, b, bits(x, y), m, n) for a, x, m in reps for b, y, n in reps if a < b and bits(x, y) <= 8}
+
+
+def test_model_names(spark):
+    from reelspan.operators import classes
+
+    names = {i: n for i, n, _, _ in classes.canonical_rows()}
+    classes.check_model_names(spark, {i: n.upper() for i, n in names.items()})
+    with pytest.raises(ValueError, match="unexpected"):
+        classes.check_model_names(spark, names | {3: "else", 80: "more"})
+
+
 def test_facility_goldens():
     same = np.array([[1.0, 0.0], [1.0, 0.0]])
     assert [[10, 20][i] for i in selectors.facility_pick(same, [10, 20], None, k=1)] == [10]
@@ -89,7 +182,11 @@ def test_ids(spark):
 
 def test_text_functions(spark):
     assert one(spark, text.clock_ms(F.lit("01:02:03:004"))) == 3_723_004
-    assert one(spark, text.clock_ms(F.lit("1:70:00:000"))) is None
+    assert one(spark, text.clock_ms(F.lit("0:75:00:000"))) == 4_500_000
+    for bad in ("1:2:3", "1:2:3:x", "1:-2:3:4", ""):
+        assert one(spark, text.clock_ms(F.lit(bad), strict=False)) is None
+        with pytest.raises(Exception, match="hours:minutes"):
+            one(spark, text.clock_ms(F.lit(bad)))
     assert one(spark, text.fold_accents(F.lit("Đường phố é"))) == "Duong pho e"
     assert one(spark, text.join_texts(F.lit(" a "), F.lit(""), F.lit(None), F.lit("b"))) == "a b"
     assert one(spark, text.fraction(F.lit("30000/1001"))) == pytest.approx(29.97, abs=0.01)
