@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspan.session import stored
+
 
 def valid_video_id(c: Column) -> Column:
     return F.coalesce(c.rlike(r"\AL\d+_V\d+\z"), F.lit(False))
@@ -64,11 +66,12 @@ def audio_segment_id(video: Column, index: Column) -> Column:
 def next_ids(df: DataFrame, existing_max: int, *order: str, name: str = "row_id") -> DataFrame:
     """Contiguous ids from existing_max + 1, in the given order.
 
-    Rows are range-partitioned and counted per partition; only the counts are ordered
-    globally, so no task holds all rows.
+    Rows are range-partitioned, stored once with the number of their partition and counted
+    per partition; only the counts are ordered globally, so no task holds all rows, and an
+    input that would come out otherwise a second time gives neither gaps nor repeats.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id())
+    placed = stored(df.repartitionByRange(parts, *order).withColumn("_p", F.spark_partition_id()), "placed")
     ranked = placed.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     counts = placed.groupBy("_p").count()
     offsets = counts.select("_p", (F.sum("count").over(Window.orderBy("_p")) - F.col("count")).alias("_o"))

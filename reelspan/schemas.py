@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 VIDEO = "video_id string, video_path string, title string, description string, keywords array<string>, author string, channel_id string, channel_url string, watch_url string, thumbnail_url string, publish_date date, duration_ms bigint"
 SHOT = "shot_id string, video_id string, shot_index int, start_ms bigint, end_ms bigint, start_frame_idx bigint, end_frame_idx bigint"
 FRAME = "frame_id string, n int, video_id string, shot_id string, pts_time double, timestamp_ms bigint, fps double, frame_idx bigint, source string, frame_path string, image_url string, width int, height int"
@@ -27,3 +30,9 @@ FRAME_SOURCES = ("official", "extracted")
 SCALE_TYPES = ("full_shot", "fixed_window")
 DECODE_STATES = ("success", "decode_failed")
 ENTITY_TYPES = ("frame", "clip", "shot")
+
+
+def conform(df: DataFrame, contract: str) -> DataFrame:
+    """The columns of a contract in its order and types; a missing column is null, a value of another kind fails the job."""
+    fields = [f.split(" ", 1) for f in contract.split(", ")]
+    return df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in fields])

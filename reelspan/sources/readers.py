@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.functions import ids
@@ -110,15 +110,16 @@ def npy_vectors(spark: SparkSession, path: str, *, dim: int | None = None) -> Da
     return files.mapInPandas(parse, "video_id string, pos bigint, vector array<float>")
 
 
-def any_table(spark: SparkSession, path: str) -> DataFrame:
-    """CSV, JSON lines or Parquet by suffix."""
+def any_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """CSV, JSON lines or Parquet by suffix, all with the same types if a schema is given; a row that does not fit it fails the job."""
     suffix = path.rsplit(".", 1)[-1].lower()
+    reader = spark.read.option("mode", "FAILFAST") if schema is None else spark.read.schema(schema).option("mode", "FAILFAST")
     if suffix == "csv":
-        return spark.read.option("header", True).csv(path)
+        return reader.option("header", True).option("enforceSchema", False).csv(path)
     if suffix in ("jsonl", "json"):
-        return spark.read.json(path)
+        return reader.json(path)
     if suffix == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.parquet(path) if schema is None else spark.read.schema(schema).parquet(path)
     raise ValueError(f"unknown table format: {suffix}")
 
 
@@ -133,9 +134,8 @@ def video_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def row_slice(df: DataFrame, start: int, end: int, *order: str) -> DataFrame:
-    """Rows at positions [start, end) of the given order; only ``end`` rows are ordered at one place."""
-    first = df.orderBy(*order).limit(end)
-    return first.withColumn("_n", F.row_number().over(Window.orderBy(*order)) - 1).where(F.col("_n") >= start).drop("_n")
+    """Rows at positions [start, end) of the given order, numbered without bringing them together."""
+    return ids.next_ids(df, -1, *order, name="_n").where(F.col("_n").between(start, end - 1)).drop("_n")
 
 
 def video_slice(df: DataFrame, start: int, end: int, key: str = "video_id") -> DataFrame:

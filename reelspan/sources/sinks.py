@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.functions import ids, text
 from reelspan.operators import joins
+from reelspan.session import stored
 
 
 def _fs(spark: SparkSession, path: str):  # type: ignore[no-untyped-def]
@@ -29,17 +31,20 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
 
 
 def _put(spark: SparkSession, path: str, body: str) -> None:
-    """Write a small file beside its place and rename it there."""
-    fs, p = _fs(spark, path + ".tmp")
+    """Write a small file beside its place and put it there by one rename that replaces what was there."""
+    tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+    fs, p = _fs(spark, tmp)
     out = fs.create(p, True)
     try:
         out.write(bytearray(body.encode()))
     finally:
         out.close()
-    final = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if fs.exists(final):
-        fs.delete(final, False)
-    _rename(spark, path + ".tmp", path)
+    jvm = spark._jvm
+    kinds = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    replacing = spark.sparkContext._gateway.new_array(kinds, 1)
+    replacing[0] = kinds.OVERWRITE
+    target = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(p), target, replacing)
 
 
 def _get(spark: SparkSession, path: str) -> str:
@@ -58,6 +63,13 @@ def checked_insert(rows: DataFrame, path: str, *, parents: dict[str, DataFrame],
     rows.write.mode("append").parquet(path)
 
 
+def append_unchecked(rows: DataFrame, path: str) -> int:
+    """Append rows without looking up parents or keys; returns their number."""
+    kept = stored(rows, "append")
+    kept.write.mode("append").parquet(path)
+    return kept.count()
+
+
 def tracks_with_observations(tracks: DataFrame, observations: DataFrame, top_id: int, *order: str) -> tuple[DataFrame, DataFrame]:
     """Tracks with new ids and their observations moved from local to new ids; an unknown local id raises."""
     joins.require_parents(observations, tracks, "local_id")
@@ -101,16 +113,37 @@ def write_artifact(rows: DataFrame, path: str, *, rows_per_shard: int = 25_000,
     failed = rows.where("status <> 'success'").withColumn("vector_shard", F.lit(None).cast("int")).withColumn("vector_row", F.lit(None).cast("int"))
     good.select("vector_shard", "vector_row", "vector").write.option("maxRecordsPerFile", rows_per_shard).parquet(f"{tmp}/vectors")
     good.drop("vector").unionByName(failed.drop("vector")).write.partitionBy("status").parquet(f"{tmp}/metadata")
-    stored_rows = spark.read.parquet(f"{tmp}/vectors")
-    sums = {str(r["vector_shard"]): f"{r['n']}:{r['c'] & ((1 << 64) - 1):016x}" for r in stored_rows.groupBy("vector_shard").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("vector_row", "vector")).alias("c")).collect()}
+    file_digests(spark, tmp).write.parquet(f"{tmp}/checksums")
+    sums = _digest_of(spark.read.parquet(f"{tmp}/checksums"))
     counts = {r["status"]: r["count"] for r in spark.read.parquet(f"{tmp}/metadata").groupBy("status").count().collect()}
-    manifest = {"counts": counts, "shards": sums, "rows_per_shard": rows_per_shard, "metadata": metadata or {}}
+    manifest = {"counts": counts, "files": sums, "rows_per_shard": rows_per_shard, "metadata": metadata or {}}
     manifest["checksum"] = hashlib.sha256(json.dumps(manifest, sort_keys=True).encode()).hexdigest()
     _put(spark, f"{tmp}/manifest.json", json.dumps(manifest))
     _rename(spark, tmp, path)
     return manifest
 
 
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(file, sha256) of the vector and metadata files of an artifact, hashed where they are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load([f"{path}/vectors", f"{path}/metadata"])
+    return files.select(F.regexp_extract("path", r"((?:vectors|metadata)/[^:]*)\z", 1).alias("file"), F.sha2("content", 256).alias("sha256"))
+
+
+def _digest_of(digests: DataFrame) -> dict[str, str | int]:
+    """Number of files and one digest over all of theirs."""
+    row = digests.agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "file", "sha256"))), "\n").cast("binary"), 256).alias("d")).first()
+    return {"number": row["n"], "sha256": row["d"]}
+
+
+def verify_artifact(spark: SparkSession, path: str) -> dict:
+    """The manifest of an artifact whose files and manifest carry the digests written with it; else raises."""
+    manifest = json.loads(_get(spark, f"{path}/manifest.json"))
+    body = {k: v for k, v in manifest.items() if k != "checksum"}
+    if hashlib.sha256(json.dumps(body, sort_keys=True).encode()).hexdigest() != manifest["checksum"] or _digest_of(file_digests(spark, path)) != manifest["files"]:
+        raise ValueError(f"{path} is not as it was written")
+    return manifest
+
+
 def insert_statements(rows: DataFrame, table: str, columns: dict[str, str], *, conflict: str = "") -> DataFrame:
     """(sql): one INSERT per row; columns are name -> string, number or float."""
     values = F.concat_ws(", ", *[text.sql_literal(F.col(c), kind) for c, kind in columns.items()])
@@ -154,11 +187,23 @@ def current_version(spark: SparkSession, root: str) -> tuple[DataFrame, dict[str
 
 
 def index_documents(documents: DataFrame, root: str, version: str) -> dict[str, int]:
-    """Store documents as a version; a repeated doc_id raises."""
-    if joins.key_conflicts(documents, "doc_id").limit(1).count():
+    """Publish a version in which these documents replace those of the same doc_id.
+
+    A doc_id that stands on several rows raises; rows without doc_id or content fail.
+    """
+    spark = documents.sparkSession
+    ok = F.col("doc_id").isNotNull() & (F.trim("doc_id") != "") & F.col("content").isNotNull()
+    marked = stored(documents.withColumn("_ok", F.coalesce(ok, F.lit(False))), "to-index")
+    good = marked.where("_ok").drop("_ok")
+    if joins.key_conflicts(good, "doc_id").limit(1).count():
         raise ValueError("repeated doc_id")
-    publish_version(documents, root, version)
-    return {"indexed": documents.count(), "failed": 0}
+    after = good
+    if exists(spark, f"{root}/current.json"):
+        before, _ = current_version(spark, root)
+        after = before.join(good.select("doc_id"), "doc_id", "left_anti").unionByName(good)
+    publish_version(after, root, version)
+    indexed = good.count()
+    return {"indexed": indexed, "failed": marked.count() - indexed}
 
 
 def frame_json(detections: DataFrame, key: str = "frame_id") -> DataFrame:

@@ -124,6 +124,30 @@ def test_hamming_pairs(spark):
     assert got == {(a, b, bits(x, y), m, n) for a, x, m in reps for b, y, n in reps if a < b and bits(x, y) <= 8}
 
 
+def test_a_changed_artifact_is_noticed(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "success", [1.0, 2.0]), ("b", "success", [1.0, 2.0])], "entity_id string, status string, vector array<float>")
+    path = str(tmp_path / "a")
+    sinks.write_artifact(rows, path)
+    with pytest.raises(FileExistsError):
+        sinks.write_artifact(rows, path)
+    one = next((tmp_path / "a" / "vectors").glob("*.parquet"))
+    one.write_bytes(one.read_bytes()[:-1] + b"x")
+    for crc in (tmp_path / "a" / "vectors").glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(ValueError, match="not as it was written"):
+        sinks.verify_artifact(spark, path)
+
+
+def test_documents_are_replaced_by_id(spark, tmp_path):
+    docs = lambda *rows: spark.createDataFrame(list(rows), "doc_id string, content string")
+    root = str(tmp_path / "d")
+    assert sinks.index_documents(docs(("a", "1"), ("b", "2"), (None, "3"), ("c", None)), root, "1") == {"indexed": 2, "failed": 2}
+    assert sinks.index_documents(docs(("b", "4"), ("e", "5")), root, "2") == {"indexed": 2, "failed": 0}
+    assert sorted(tuple(r) for r in sinks.current_version(spark, root)[0].collect()) == [("a", "1"), ("b", "4"), ("e", "5")]
+    with pytest.raises(ValueError, match="repeated"):
+        sinks.index_documents(docs(("b", "4"), ("b", "5")), root, "3")
+
+
 def test_model_names(spark):
     from reelspan.operators import classes
 
@@ -243,7 +267,8 @@ def test_sinks(spark, tmp_path):
     rows = spark.createDataFrame([(f"e{i}", "success" if i < 5 else "failed", [float(i), 1.0] if i < 5 else None) for i in range(6)], "entity_id string, status string, vector array<float>")
     path = str(tmp_path / "art")
     manifest = sinks.write_artifact(rows, path, rows_per_shard=2)
-    assert manifest["counts"] == {"success": 5, "failed": 1} and len(manifest["shards"]) == 3
+    assert manifest["counts"] == {"success": 5, "failed": 1} and len(manifest["files"]["sha256"]) == 64
+    assert sinks.verify_artifact(spark, path) == manifest
     back = readers.embedding_artifact(spark, path).collect()
     assert {r["entity_id"]: r["vector"][0] for r in back} == {f"e{i}": float(i) for i in range(5)}
     with pytest.raises(FileExistsError):
