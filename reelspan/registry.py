@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.operators import joins, timeline
-from reelspan.plans import common, data_quality, ingestion, media, streams, timelines
+from reelspan.plans import common, data_quality, ingestion, media, selection_sql, streams, timelines
 
 _MODULES = [data_quality, timelines, media, ingestion, streams]
 
@@ -16,7 +16,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for m in _MODULES for k, s in m.oracle_sql().items()}
+    return {k: s for m in _MODULES for k, s in m.oracle_sql().items()} | selection_sql.ALL
 
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
