@@ -157,7 +157,7 @@ def class_track_totals(spark: SparkSession, d: str) -> DataFrame:
     n AS (SELECT shot_id, sqrt(sum(m * m)) AS l FROM m GROUP BY 1) SELECT m.shot_id, round(max(CASE WHEN i = 1 THEN m / l END), 6) AS first, round(sum(m / l), 6) AS total FROM m JOIN n ON m.shot_id = n.shot_id WHERE l > 1e-12 GROUP BY 1"""
 )
 def masked_mean_pool(spark: SparkSession, d: str) -> DataFrame:
-    p = vectors.mean_pool(c.candidates(spark, d).where("shot_id IS NOT NULL"), ["shot_id"], "clip_vector").where("pooled IS NOT NULL")
+    p = vectors.mean_pool(c.candidates(spark, d).where("shot_id IS NOT NULL"), ["shot_id"], "clip_vector", dim=64).where("pooled IS NOT NULL")
     return p.select("shot_id", F.round(F.col("pooled")[0], 6).alias("first"), F.round(F.aggregate("pooled", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
 
 
@@ -166,7 +166,7 @@ def masked_mean_pool(spark: SparkSession, d: str) -> DataFrame:
     n AS (SELECT video_id, sqrt(sum(m * m)) AS l FROM m GROUP BY 1) SELECT m.video_id, round(sum(m / l), 6) AS total FROM m JOIN n ON m.video_id = n.video_id WHERE l > 1e-12 GROUP BY 1"""
 )
 def weighted_shot_pool(spark: SparkSession, d: str) -> DataFrame:
-    p = vectors.mean_pool(c.candidates(spark, d).where("video_id IS NOT NULL"), ["video_id"], "clip_vector", weight=1 + F.coalesce("center_distance", F.lit(0.0))).where("pooled IS NOT NULL")
+    p = vectors.mean_pool(c.candidates(spark, d).where("video_id IS NOT NULL"), ["video_id"], "clip_vector", weight=1 + F.coalesce("center_distance", F.lit(0.0)), dim=64).where("pooled IS NOT NULL")
     return p.select("video_id", F.round(F.aggregate("pooled", F.lit(0.0), lambda s, x: s + x), 6).alias("total"))
 
 
