@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelspan.functions import ids
+from reelspan.operators.stretches import Placed
 
 
 def milliseconds(seconds: Column) -> Column:
@@ -23,11 +24,11 @@ def scene_islands(scores: DataFrame, *, video: str = "video_id", frame: str = "f
     Scores above the threshold are transitions; a run followed by a transition takes that
     frame too. A video of transitions only is one scene.
     """
-    order = Window.partitionBy(video).orderBy("_f")
     flagged = scores.select(video, F.col(frame).alias("_f"), (F.col(score) > threshold).alias("_t"))
-    runs = flagged.withColumn("_run", F.sum(F.col("_t").cast("int")).over(order)).withColumn("_last", F.max("_f").over(Window.partitionBy(video)))
-    scenes = runs.where(~F.col("_t")).groupBy(video, "_run", "_last").agg(F.min("_f").alias("start_frame_idx"), F.max("_f").alias("_b"))
-    scenes = scenes.select(video, "start_frame_idx", F.least(F.col("_b") + 1, F.col("_last")).alias("end_frame_idx"))
+    marked = Placed(flagged.withColumn("_one", F.col("_t").cast("int")), [video], ["_f"])
+    scenes = marked.running("_one", "_run").result().where(~F.col("_t")).groupBy(video, "_run").agg(F.min("_f").alias("start_frame_idx"), F.max("_f").alias("_b"))
+    last = flagged.groupBy(video).agg(F.max("_f").alias("_last"))
+    scenes = scenes.join(last, video).select(video, "start_frame_idx", F.least(F.col("_b") + 1, F.col("_last")).alias("end_frame_idx"))
     whole = flagged.groupBy(video).agg(F.min("_f").alias("start_frame_idx"), F.max("_f").alias("end_frame_idx"), F.bool_and("_t").alias("_all"))
     return scenes.unionByName(whole.where("_all").drop("_all"))
 
@@ -98,15 +99,14 @@ def rate_gate(frames: DataFrame, *, part: str, time: str, start: str, interval_m
 
 def gap_groups(df: DataFrame, part: list[str], time: str, max_gap_ms: int) -> DataFrame:
     """``group_no`` from 0: a new group begins after a gap above ``max_gap_ms``."""
-    w = Window.partitionBy(*part).orderBy(time)
-    opened = (F.col(time) - F.lag(time).over(w) > max_gap_ms).cast("int")
-    return df.withColumn("_o", F.coalesce(opened, F.lit(0))).withColumn("group_no", F.sum("_o").over(w)).drop("_o")
+    placed = Placed(df, part, [time]).previous(time, "_before")
+    placed.rows = placed.rows.withColumn("_o", F.coalesce((F.col(time) - F.col("_before") > max_gap_ms).cast("int"), F.lit(0)))
+    return placed.running("_o", "group_no").result().drop("_o", "_before")
 
 
 def evenly_picked(df: DataFrame, part: list[str], order: list[str], k: int) -> DataFrame:
     """At most k rows a part, evenly spread, first and last included."""
-    w, whole = Window.partitionBy(*part).orderBy(*order), Window.partitionBy(*part)
-    rows = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_n", F.count(F.lit(1)).over(whole))
+    rows = Placed(df, part, order).numbered("_i", total="_n").result().withColumn("_i", (F.col("_i") - 1).cast("int"))
     spots = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / F.lit(max(k - 1, 1))).cast("int"))
     kept = (F.col("_n") <= k) | (F.lit(k > 1) & F.array_contains(spots, F.col("_i"))) | (F.lit(k == 1) & (F.col("_i") == 0))
     return rows.where(kept).drop("_i", "_n")
@@ -114,7 +114,7 @@ def evenly_picked(df: DataFrame, part: list[str], order: list[str], k: int) -> D
 
 def chunks(df: DataFrame, part: list[str], order: list[str], size: int, name: str = "unit_no") -> DataFrame:
     """Rows in order, in units of ``size``, numbered from 0 per part."""
-    return df.withColumn(name, F.floor((F.row_number().over(Window.partitionBy(*part).orderBy(*order)) - 1) / F.lit(size)).cast("long"))
+    return Placed(df, part, order).numbered(name).result().withColumn(name, F.floor((F.col(name) - 1) / F.lit(size)).cast("long"))
 
 
 def model_windows(frames: DataFrame, *, video: str = "video_id", frames_col: str = "n_frames", size: int = 100, hop: int = 50, context: int = 25) -> DataFrame:
@@ -135,14 +135,12 @@ def model_windows(frames: DataFrame, *, video: str = "video_id", frames_col: str
 
 def adjacent_gaps(df: DataFrame, part: str, start: str = "start_ms", end: str = "end_ms") -> DataFrame:
     """Rows whose end is not the start of the next row of the part, with ``next_start``."""
-    nxt = F.lead(start).over(Window.partitionBy(part).orderBy(start, end))
-    return df.withColumn("next_start", nxt).where(F.col("next_start") != F.col(end))
+    return Placed(df, [part], [start, end]).following(start, "next_start").result().where(F.col("next_start") != F.col(end))
 
 
 def order_violations(shots: DataFrame, part: str = "video_id") -> DataFrame:
     """Shots that begin before the one ahead of them ends, or do not last."""
-    prev = F.lag("end_ms").over(Window.partitionBy(part).orderBy("start_ms", "shot_id"))
-    return shots.withColumn("previous_end", prev).where((F.col("start_ms") < F.col("previous_end")) | (F.col("end_ms") <= F.col("start_ms")))
+    return Placed(shots, [part], ["start_ms", "shot_id"]).previous("end_ms", "previous_end").result().where((F.col("start_ms") < F.col("previous_end")) | (F.col("end_ms") <= F.col("start_ms")))
 
 
 def window_faults(clips: DataFrame, shots: DataFrame, max_ms: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelspan.functions import geometry, ids, text, vectors
-from reelspan.operators import aggregates, classes, joins, lookups, search, selectors, validate, vector_search
+from reelspan.operators import aggregates, classes, joins, lookups, search, selectors, stretches, validate, vector_search
 from reelspan.plans import common as c
 from reelspan.session import stored, table
 from reelspan.sources import readers, sinks
@@ -33,8 +33,8 @@ def _query(sql: str | None = None):  # type: ignore[no-untyped-def]
     SELECT v.candidate_id, f.frame_id FROM v JOIN {c.FRAMES} f ON f.video_id = v.video_id AND f.n = v.pos + 1 WHERE f.source = 'official'"""
 )
 def positional_vector_join(spark: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("video_id").orderBy("frame_idx", "candidate_id")
-    v = c.candidates(spark, d).where("video_id IS NOT NULL").select("candidate_id", "video_id", (F.row_number().over(w) - 1).alias("pos"))
+    rows = c.candidates(spark, d).where("video_id IS NOT NULL").select("candidate_id", "video_id", "frame_idx")
+    v = stretches.Placed(rows, ["video_id"], ["frame_idx", "candidate_id"]).numbered("pos").result().withColumn("pos", F.col("pos") - 1)
     refs = c.frames(spark, d).where("source = 'official'").select("video_id", "n", "frame_id")
     return joins.positional_join(v, refs, key="video_id", pos="pos", n="n").select("candidate_id", "frame_id")
 
