@@ -6,8 +6,9 @@ content, language, timestamp_ms, start_ms, end_ms and an array of text regions.
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -112,9 +113,27 @@ def simple_score(query: str, title: Column, content: Column) -> Column:
     return score
 
 
+@lru_cache(maxsize=1)
+def _letters() -> dict[str, str]:
+    """For each plain letter the composed Latin letters that fold to it."""
+    out: dict[str, str] = {}
+    for cp in range(0x80, 0x1F00):
+        bare = "".join(c for c in unicodedata.normalize("NFD", chr(cp).lower()) if unicodedata.category(c) != "Mn").replace("đ", "d")
+        if len(bare) == 1 and bare.isascii() and bare.isalpha():
+            out[bare] = out.get(bare, bare) + chr(cp)
+    return out
+
+
 def highlighted(c: Column, terms: list[str]) -> Column:
-    """Terms (accent-sensitive, whole words) between <em> marks."""
-    return F.regexp_replace(c, r"(?iU)\b(" + "|".join(map(_quote, terms)) + r")\b", "<em>$1</em>")
+    """Terms as whole words between <em> marks; case and accents are ignored as in matching."""
+    plain = ["".join(f"[{_letters().get(ch, ch)}]\\p{{M}}*" if ch.isalnum() else _quote(ch) for ch in word) for t in terms for word in _fold_query(t)]
+    return F.regexp_replace(c, r"(?iU)(?<![\p{L}\p{N}\p{M}])(" + "|".join(dict.fromkeys(plain)) + r")(?![\p{L}\p{N}\p{M}])", "<em>$1</em>") if plain else c
+
+
+def has_phrase(c: Column, words: list[str]) -> Column:
+    """Whether the words stand in a row in a text, compared as accent-free words."""
+    line = F.concat(F.lit(" "), F.array_join(text.tokens(text.fold_accents(c)), " "), F.lit(" "))
+    return line.contains(" " + " ".join(words) + " ")
 
 
 def _quote(term: str) -> str:
@@ -181,31 +200,37 @@ def paged(scored: DataFrame, q: SearchQuery, key: str = "doc_id") -> DataFrame:
     return scored.orderBy(*order).offset(q.offset).limit(q.top_k)
 
 
-def search(documents: DataFrame, query: SearchQuery, index: DataFrame | None = None) -> DataFrame:
-    """Hits of a query: phrase in content (x6), best boosted field, phrase in a region (x3), fuzzy content terms (x1); one clause must match."""
+def matches(documents: DataFrame, query: SearchQuery, index: DataFrame | None = None) -> DataFrame:
+    """Hits of a query: phrase in content (x6), best boosted field, phrase in a region (x3), content terms within the edit distance (x1); one clause must match.
+
+    Only the hits of a query leave the index; the documents are read once for filters and highlights.
+    """
     q = query.checked()
     found = filtered(documents, q)
     index = postings(documents) if index is None else index
     words = [w for w in _fold_query(q.query_text) if w]
     clauses = [bm25(index, words, {"title": 5, "keywords": 4, "content": 3, "description": 1})]
     clauses.append(phrase_matches(index, " ".join(words)).select("doc_id", (F.lit(6.0) * F.col("hits") / (F.col("hits") + 1)).alias("score")))
-    folded = text.fold_accents(F.lower(F.lit(q.query_text)))
-    in_region = found.where(F.exists("regions", lambda r: text.fold_accents(F.lower(r["text"])).contains(folded)))
+    in_region = found.where(F.exists("regions", lambda r: has_phrase(r["text"], words)))
     clauses.append(in_region.select("doc_id", F.lit(3.0).alias("score")))
     if q.use_fuzzy:
         for w in words:
-            near = fuzzy_terms(index, w).where("distance > 0").select("term")
+            near = fuzzy_terms(index, w).select("term")
             clauses.append(index.where("field = 'content'").join(near, "term", "left_semi").select("doc_id").distinct().withColumn("score", F.lit(1.0)))
     total = reduce(DataFrame.unionByName, clauses).groupBy("doc_id").agg(F.sum("score").alias("score"))
     hits = found.join(total, "doc_id")
     if q.use_highlight:
-        hits = hits.withColumn("highlight", highlighted(F.col("content"), q.query_text.split()))
-    return paged(hits, q)
+        marked = F.transform(F.filter("regions", lambda r: has_phrase(r["text"], words)), lambda r: highlighted(r["text"], [q.query_text]))
+        hits = hits.withColumn("highlight", highlighted(F.col("content"), [q.query_text])).withColumn("region_highlights", marked)
+    return hits
 
 
-def _fold_query(s: str) -> list[str]:
-    import unicodedata
+def search(documents: DataFrame, query: SearchQuery, index: DataFrame | None = None) -> DataFrame:
+    """One page of the matches of a query."""
+    return paged(matches(documents, query, index), query.checked())
 
+
+def _fold_query(s: str) -> list[str]:
     bare = "".join(c for c in unicodedata.normalize("NFD", s.lower()) if unicodedata.category(c) != "Mn").replace("đ", "d")
     return "".join(c if c.isalnum() else " " for c in bare).split()
 

@@ -41,13 +41,16 @@ def scene_shots(scenes: DataFrame, fps: Column, *, video: str = "video_id") -> D
 
 def merge_short_shots(shots: DataFrame, min_ms: int = 500, *, video: str = "video_id") -> DataFrame:
     """Shots below ``min_ms`` join the one before; a short first group joins the next. Renumbered with ids."""
-    order = Window.partitionBy(video).orderBy("start_frame_idx")
-    lead = shots.withColumn("_n", F.row_number().over(order)).withColumn("_own", ((F.col("_n") == 1) | (F.col("end_ms") - F.col("start_ms") >= min_ms)).cast("int"))
-    grouped = lead.withColumn("_g", F.sum("_own").over(order)).groupBy(video, "_g").agg(*[f(c).alias(c) for f, c in ((F.min, "start_ms"), (F.max, "end_ms"), (F.min, "start_frame_idx"), (F.max, "end_frame_idx"))])
-    whole = Window.partitionBy(video)
-    first_short = F.max(F.when(F.col("_g") == 1, F.col("end_ms") - F.col("start_ms") < min_ms)).over(whole) & (F.max("_g").over(whole) > 1)
-    joined = grouped.withColumn("_g", F.when((F.col("_g") == 1) & first_short, 2).otherwise(F.col("_g"))).groupBy(video, "_g").agg(*[f(c).alias(c) for f, c in ((F.min, "start_ms"), (F.max, "end_ms"), (F.min, "start_frame_idx"), (F.max, "end_frame_idx"))])
-    numbered = joined.withColumn("shot_index", (F.row_number().over(order) - 1).cast("int")).drop("_g")
+    spans = [f(n).alias(n) for f, n in ((F.min, "start_ms"), (F.max, "end_ms"), (F.min, "start_frame_idx"), (F.max, "end_frame_idx"))]
+    placed = Placed(shots, [video], ["start_frame_idx"]).numbered("_n")
+    placed.rows = placed.rows.withColumn("_own", ((F.col("_n") == 1) | (F.col("end_ms") - F.col("start_ms") >= min_ms)).cast("int"))
+    grouped = placed.running("_own", "_g").result().groupBy(video, "_g").agg(*spans)
+    # videos whose first group is short and has another one to join
+    first = grouped.where("_g <= 2").groupBy(video).agg(F.max(F.when(F.col("_g") == 1, F.col("end_ms") - F.col("start_ms"))).alias("_first"), F.max("_g").alias("_most"))
+    short = first.where((F.col("_first") < min_ms) & (F.col("_most") > 1)).select(video, F.lit(1).alias("_join"))
+    moved = grouped.join(short, video, "left").withColumn("_g", F.when((F.col("_g") == 1) & (F.col("_join") == 1), 2).otherwise(F.col("_g")))
+    joined = moved.groupBy(video, "_g").agg(*spans).drop("_g")
+    numbered = Placed(joined, [video], ["start_frame_idx"]).numbered("shot_index").result().withColumn("shot_index", (F.col("shot_index") - 1).cast("int"))
     return numbered.withColumn("shot_id", ids.shot_id(F.col(video), F.col("shot_index")))
 
 
@@ -133,9 +136,9 @@ def model_windows(frames: DataFrame, *, video: str = "video_id", frames_col: str
     )
 
 
-def adjacent_gaps(df: DataFrame, part: str, start: str = "start_ms", end: str = "end_ms") -> DataFrame:
+def adjacent_gaps(df: DataFrame, part: str, start: str = "start_ms", end: str = "end_ms", ties: tuple[str, ...] = ()) -> DataFrame:
     """Rows whose end is not the start of the next row of the part, with ``next_start``."""
-    return Placed(df, [part], [start, end]).following(start, "next_start").result().where(F.col("next_start") != F.col(end))
+    return Placed(df, [part], [start, end, *ties]).following(start, "next_start").result().where(F.col("next_start") != F.col(end))
 
 
 def order_violations(shots: DataFrame, part: str = "video_id") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.operators import joins
+from reelspan.operators.stretches import Placed
 from reelspan.session import table
 
 
@@ -48,11 +49,9 @@ def candidates(spark: SparkSession, d: str) -> DataFrame:
 
 def timeline(spark: SparkSession, d: str) -> DataFrame:
     """Events as frame scores: video_id, frame_idx, score."""
-    from pyspark.sql import Window
-
-    e = table(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return e.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("video_id"), (F.row_number().over(w) - 1).cast("long").alias("frame_idx"), "value", "event_id").withColumnRenamed("value", "score")
+    e = table(spark, d, "events").select("user_id", "ts", "event_id", "value")
+    numbered = Placed(e, ["user_id"], ["ts", "event_id"]).numbered("frame_idx").result()
+    return numbered.select(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("video_id"), (F.col("frame_idx") - 1).alias("frame_idx"), F.col("value").alias("score"), "event_id")
 
 
 def _first(t: str, *keys: str) -> str:

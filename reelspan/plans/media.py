@@ -436,8 +436,8 @@ def keyword_arrays(spark: SparkSession, d: str) -> DataFrame:
 def sql_statements(spark: SparkSession, d: str) -> DataFrame:
     v = c.videos(spark, d)
     cols = {"video_id": "string", "title": "string", "duration_ms": "number"}
-    made = F.concat(F.lit("INSERT INTO video (video_id, title, duration_ms) VALUES ("), F.concat_ws(", ", *[text.sql_literal(F.col(k), t) for k, t in cols.items()]), F.lit(");"))
-    return v.select("video_id", made.alias("sql"))
+    made = sinks.insert_statements(v.withColumn("_key", F.col("video_id")), "video", cols, keep=["_key"])
+    return made.select(F.col("_key").alias("video_id"), "sql")
 
 
 @_query(r"SELECT DISTINCT source, upper(trim(regexp_replace(lower(trim(source)), '_', ' ', 'g'))) AS label, coalesce(nullif(regexp_replace(source, '[^A-Za-z0-9._-]+', '_', 'g'), ''), 'unknown') AS path FROM documents WHERE source IS NOT NULL")
@@ -621,6 +621,35 @@ def full_search(spark: SparkSession, d: str) -> DataFrame:
     return hits.select("doc_id", F.round("score", 6).alias("score"), "highlight")
 
 
+_FOLDED = r"regexp_extract_all(lower(strip_accents(replace(replace({0}, 'đ', 'd'), 'Đ', 'D'))), '[\p{{L}}\p{{N}}]+')"
+_ALL_DOCUMENTS = f"""v AS (SELECT 'video_metadata:' || video_id || ':v1' AS doc_id, nullif(trim(title), '') AS title, nullif(trim(description), '') AS description, nullif(array_to_string(list_filter(list_transform(keywords, lambda k: trim(k)), lambda k: k <> ''), ' '), '') AS keywords FROM {c.VIDEOS}),
+    vd AS (SELECT doc_id, title, keywords, description, array_to_string(list_filter([title, description, keywords], lambda s: s IS NOT NULL), ' ') AS content, CAST([] AS VARCHAR[]) AS regions FROM v),
+    o AS (SELECT 'ocr_frame:' || o.frame_id || ':v1', NULL, NULL, NULL, string_agg(trim(text), chr(10) ORDER BY o.n), list(trim(text)) FROM {c.OCR} o JOIN {c.FRAMES} f ON o.frame_id = f.frame_id WHERE trim(text) <> '' AND x_min BETWEEN 0 AND 1 AND x_max BETWEEN 0 AND 1 AND y_min BETWEEN 0 AND 1 AND y_max BETWEEN 0 AND 1 AND x_min <= x_max AND y_min <= y_max GROUP BY 1),
+    t AS (SELECT 'transcript:' || doc_id || ':v1', NULL, NULL, NULL, trim(text), CAST([] AS VARCHAR[]) FROM documents WHERE source = 'transcript' AND trim(text) <> ''),
+    k AS (SELECT 'caption:f:' || o.frame_id || ':' || o.n || ':v1', NULL, NULL, NULL, trim(o.text), CAST([] AS VARCHAR[]) FROM {c.OCR} o JOIN {c.FRAMES} f ON o.frame_id = f.frame_id WHERE trim(o.text) <> '' AND f.video_id IS NOT NULL
+      UNION ALL SELECT 'caption:c:' || k.clip_id || ':v1', NULL, NULL, NULL, trim(k.sampling_strategy), CAST([] AS VARCHAR[]) FROM {c.CLIPS} k JOIN {c.SHOTS} s ON k.shot_id = s.shot_id WHERE trim(k.sampling_strategy) <> '' AND s.video_id IS NOT NULL
+      UNION ALL SELECT 'caption:s:' || shot_id || ':v1', NULL, NULL, NULL, trim(video_id), CAST([] AS VARCHAR[]) FROM {c.SHOTS} WHERE trim(video_id) <> ''),
+    docs AS (SELECT doc_id, {_FOLDED.format("coalesce(title, '')")} AS ti, {_FOLDED.format("coalesce(keywords, '')")} AS ke, {_FOLDED.format("coalesce(description, '')")} AS de, {_FOLDED.format("content")} AS co, regions FROM (FROM vd WHERE content <> '' UNION ALL FROM o UNION ALL FROM t UNION ALL FROM k))"""
+
+
+@_query(
+    f"""WITH {_ALL_DOCUMENTS}, m AS (SELECT doc_id, list_has_any(list_concat(ti, ke, de, co), ['cay', 'cau', 'tre']) AS w, len(list_filter(range(1, len(co) - 1), lambda i: co[i] = 'cay' AND co[i + 1] = 'cau' AND co[i + 2] = 'tre')) AS p,
+      len(list_filter(regions, lambda r: contains(' ' || array_to_string({_FOLDED.format("r")}, ' ') || ' ', ' cay cau tre '))) AS r, len(list_filter(list_transform(co, lambda x: regexp_replace(x, '[^\x00-\x7f]', '#', 'g')), lambda x: levenshtein(x, 'cay') <= 1 OR levenshtein(x, 'cau') <= 1 OR levenshtein(x, 'tre') <= 1)) > 0 AS z FROM docs)
+    SELECT doc_id, w AS has_word, CAST(p AS INTEGER) AS phrases, CAST(r AS INTEGER) AS regions, z AS near FROM m WHERE w OR p > 0 OR r > 0 OR z"""
+)
+def search_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Every hit of a search over all four sources, with the clauses that match."""
+    docs = stored(_documents(spark, d), "documents")
+    index = stored(search.postings(docs), "postings")
+    q = search.SearchQuery("cây cầu tre", use_fuzzy=True, use_highlight=True)
+    hits = search.matches(docs, q, index).select("doc_id", F.coalesce(F.size("region_highlights"), F.lit(0)).alias("regions"))
+    words = index.where(F.col("term").isin("cay", "cau", "tre")).select("doc_id").distinct().withColumn("has_word", F.lit(True))
+    near = index.where("field = 'content'").where(" OR ".join(f"levenshtein(term, '{w}') <= 1" for w in ("cay", "cau", "tre"))).select("doc_id").distinct().withColumn("near", F.lit(True))
+    phrases = search.phrase_matches(index, "cay cau tre").select("doc_id", F.col("hits").cast("int").alias("phrases"))
+    joined = hits.join(words, "doc_id", "left").join(near, "doc_id", "left").join(phrases, "doc_id", "left")
+    return joined.select("doc_id", F.coalesce("has_word", F.lit(False)).alias("has_word"), F.coalesce("phrases", F.lit(0)).alias("phrases"), F.greatest("regions", F.lit(0)).alias("regions"), F.coalesce("near", F.lit(False)).alias("near"))
+
+
 # greedy selections
 
 

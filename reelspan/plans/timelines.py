@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.operators import aggregates, joins
@@ -150,9 +150,7 @@ def model_windows(spark: SparkSession, d: str) -> DataFrame:
 
 @_query(f"SELECT shot_id, video_id, end_ms, nx AS next_start FROM (SELECT *, lead(start_ms) OVER (PARTITION BY video_id ORDER BY start_ms, end_ms, shot_id) AS nx FROM {c.SOUND_SHOTS}) WHERE nx <> end_ms")
 def adjacent_gap_warnings(spark: SparkSession, d: str) -> DataFrame:
-    s = c.sound_shots(spark, d)
-    nxt = F.lead("start_ms").over(Window.partitionBy("video_id").orderBy("start_ms", "end_ms", "shot_id"))
-    return s.withColumn("next_start", nxt).where("next_start <> end_ms").select("shot_id", "video_id", "end_ms", "next_start")
+    return tl.adjacent_gaps(c.sound_shots(spark, d), "video_id", ties=("shot_id",)).select("shot_id", "video_id", "end_ms", "next_start")
 
 
 @_query(f"SELECT shot_id, start_ms, pe AS previous_end FROM (SELECT *, lag(end_ms) OVER (PARTITION BY video_id ORDER BY start_ms, shot_id) AS pe FROM {c.SHOTS} WHERE start_ms IS NOT NULL AND video_id IS NOT NULL) WHERE start_ms < pe OR end_ms <= start_ms")

@@ -144,11 +144,11 @@ def verify_artifact(spark: SparkSession, path: str) -> dict:
     return manifest
 
 
-def insert_statements(rows: DataFrame, table: str, columns: dict[str, str], *, conflict: str = "") -> DataFrame:
-    """(sql): one INSERT per row; columns are name -> string, number or float."""
+def insert_statements(rows: DataFrame, table: str, columns: dict[str, str], *, conflict: str = "", keep: list[str] = ()) -> DataFrame:  # type: ignore[assignment]
+    """(keep, sql): one INSERT per row; columns are name -> string, number or float."""
     values = F.concat_ws(", ", *[text.sql_literal(F.col(c), kind) for c, kind in columns.items()])
     tail = f" ON CONFLICT {conflict}" if conflict else ""
-    return rows.select(F.concat(F.lit(f"INSERT INTO {table} ({', '.join(columns)}) VALUES ("), values, F.lit(f"){tail};")).alias("sql"))
+    return rows.select(*keep, F.concat(F.lit(f"INSERT INTO {table} ({', '.join(columns)}) VALUES ("), values, F.lit(f"){tail};")).alias("sql"))
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
