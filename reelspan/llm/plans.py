@@ -20,7 +20,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_texts(spark: SparkSession, d: str) -> DataFrame:
-    return lookalikes.consistent_texts(_texts(spark, d)).select("source_table", "record_key", "consistent")
+    return lookalikes.consistent_texts(_texts(spark, d)).select("source_table", "record_key", "consistent").distinct()
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
