@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.operators import joins, timeline
-from reelspan.plans import common, data_quality, ingestion, media, selection_sql, streams, timelines
+from reelspan.plans import common, data_quality, ingestion, media, scalars, selection_sql, streams, timelines
 
-_MODULES = [data_quality, timelines, media, ingestion, streams]
+_MODULES = [data_quality, timelines, media, scalars, ingestion, streams]
 
 
 def queries() -> dict:
