@@ -689,9 +689,33 @@ def kmeans_representatives(spark: SparkSession, d: str) -> DataFrame:
     return selectors.cluster_representatives(_shot_candidates(spark, d), key="shot_id", frame="frame_idx", vector="clip_vector").select("shot_id", "candidate_id")
 
 
+def _candidates_and_existing(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A fifth of the candidates stand for frames a shot has already."""
+    k = _shot_candidates(spark, d)
+    return k.where("candidate_id % 5 <> 0"), k.where("candidate_id % 5 = 0")
+
+
+@_query()
+def redundancy_with_existing(spark: SparkSession, d: str) -> DataFrame:
+    new, have = _candidates_and_existing(spark, d)
+    return selectors.redundancy_dedup(new, existing=have.select("shot_id", "frame_idx")).select("shot_id", "candidate_id")
+
+
 @_query()
 def hybrid_keyframes(spark: SparkSession, d: str) -> DataFrame:
-    return selectors.hybrid_keyframes(_shot_candidates(spark, d)).select("shot_id", "candidate_id")
+    new, have = _candidates_and_existing(spark, d)
+    return selectors.hybrid_keyframes(new, existing=have).select("shot_id", "candidate_id")
+
+
+@_query()
+def hybrid_status(spark: SparkSession, d: str) -> DataFrame:
+    new, have = _candidates_and_existing(spark, d)
+    return selectors.selection_status(c.sound_shots(spark, d), new, selectors.hybrid_keyframes(new, existing=have))
+
+
+@_query()
+def caption_times(spark: SparkSession, d: str) -> DataFrame:
+    return selectors.caption_times(c.sound_shots(spark, d))
 
 
 @_query()
@@ -699,10 +723,19 @@ def anchor_frames(spark: SparkSession, d: str) -> DataFrame:
     return selectors.anchor_frames(c.sound_shots(spark, d), c.frames(spark, d).where("shot_id IS NOT NULL").select("frame_id", "shot_id", "timestamp_ms", "source", "frame_idx"))
 
 
+@_query()
+def diverse_anchor_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Anchors and the most different further frames; the candidate at a frame lends its vector."""
+    f = c.frames(spark, d).where("shot_id IS NOT NULL").select("frame_id", "shot_id", "timestamp_ms", "source", "frame_idx")
+    k = _shot_candidates(spark, d).groupBy("shot_id").agg(F.min_by("clip_vector", "candidate_id").alias("vector"))
+    return selectors.anchor_frames(c.sound_shots(spark, d), f, vectors=f.join(k, "shot_id").select("frame_id", "vector"))
+
+
 @_query()
 def caption_frames(spark: SparkSession, d: str) -> DataFrame:
-    s = c.sound_shots(spark, d).select("shot_id", (F.col("end_ms") - F.col("start_ms")).alias("duration"))
-    return selectors.caption_frames(_shot_candidates(spark, d).join(s, "shot_id"), key="shot_id", frame="frame_idx", vector="clip_vector", duration="duration").select("shot_id", "candidate_id")
+    """Sharpness and brightness stand in for those of decoded frames."""
+    k = _shot_candidates(spark, d).select("candidate_id", "shot_id", F.col("clip_vector").alias("vector"), F.bround(F.col("frame_idx") * 40).cast("long").alias("timestamp_ms"), (F.col("candidate_id") % 97).cast("double").alias("sharpness"), (F.col("candidate_id") % 255).cast("double").alias("brightness"))
+    return selectors.caption_frames(k, c.sound_shots(spark, d)).select("shot_id", "candidate_id")
 
 
 @_query()

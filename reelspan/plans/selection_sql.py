@@ -37,11 +37,11 @@ w AS (SELECT shot_id, r, frame_id, CAST(NULL AS VARCHAR) AS reused_from, [{{'h':
 SELECT frame_id, reused_from FROM w"""
 
 ANCHORS = f"""WITH RECURSIVE s AS (SELECT shot_id, start_ms AS a, end_ms AS e, greatest(1, least(4, (end_ms - start_ms + 7999) // 8000)) AS n FROM {c.SOUND_SHOTS}),
-f AS (SELECT shot_id, list({{'i': frame_id, 't': timestamp_ms, 'o': CASE WHEN source IS DISTINCT FROM 'extracted' THEN 1 ELSE 0 END, 'x': coalesce(frame_idx, 1152921504606846976)}}) AS fs FROM {c.FRAMES} WHERE shot_id IS NOT NULL AND timestamp_ms IS NOT NULL GROUP BY 1),
-w AS (SELECT s.shot_id, a, e, n, fs, 0 AS i, CAST([] AS VARCHAR[]) AS used FROM s JOIN f ON s.shot_id = f.shot_id
-  UNION ALL SELECT shot_id, a, e, n, fs, i + 1, list_append(used, list_sort(list_transform(list_filter(fs, lambda x: NOT list_contains(used, x.i)), lambda x: {{'d': abs(x.t - CAST(floor(a + (i + 0.5) * (e - a) / n) AS BIGINT)), 'o': x.o, 'x': x.x, 'i': x.i}}))[1].i)
+f AS (SELECT shot_id, count(*) AS many, list({{'i': frame_id, 't': timestamp_ms, 'o': CASE WHEN source IS DISTINCT FROM 'extracted' THEN 1 ELSE 0 END, 'x': coalesce(frame_idx, 1152921504606846976)}}) AS fs FROM {c.FRAMES} WHERE shot_id IS NOT NULL AND timestamp_ms IS NOT NULL GROUP BY 1),
+w AS (SELECT s.shot_id, a, e, least(n, many) AS n, fs, 0 AS i, CAST([] AS VARCHAR[]) AS used FROM s JOIN f ON s.shot_id = f.shot_id
+  UNION ALL SELECT shot_id, a, e, n, fs, i + 1, list_append(used, list_sort(list_transform(list_filter(fs, lambda x: NOT list_contains(used, x.i)), lambda x: {{'d': abs(x.t - CAST(floor(a + (e - a) * (i + 0.5) / n) AS BIGINT)), 'o': x.o, 'x': x.x, 'i': x.i}}))[1].i)
   FROM w WHERE i < n AND len(used) < len(fs))
-SELECT shot_id, unnest(used) AS frame_id FROM (SELECT shot_id, arg_max(used, i) AS used FROM w GROUP BY 1)"""
+SELECT shot_id, unnest(used) AS frame_id, 'temporal_anchor' AS reason FROM (SELECT shot_id, arg_max(used, i) AS used FROM w GROUP BY 1)"""
 
 _HAVE = f"(SELECT video_id, list(DISTINCT frame_idx) AS fs FROM {c.FRAMES} WHERE frame_idx IS NOT NULL AND video_id IS NOT NULL GROUP BY 1)"
 
@@ -86,7 +86,32 @@ _NAME = "concat_ws('::', 'media', coalesce(k.video_id, ''), coalesce(k.shot_id,
 UUIDS = f"""WITH h AS (SELECT clip_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode({_NAME})) AS h FROM {c.SOUND_CLIPS} k)
 SELECT clip_id, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || CASE (strpos('0123456789abcdef', h[17]) - 1) % 4 WHEN 0 THEN '8' WHEN 1 THEN '9' WHEN 2 THEN 'a' ELSE 'b' END || h[18:20] || '-' || h[21:32] AS uuid FROM h"""
 
+CAPTION_TIMES = f"""SELECT shot_id, start_ms + CAST(floor((end_ms - start_ms) * (i + 0.5) / n) AS BIGINT) AS timestamp_ms FROM (SELECT shot_id, start_ms, end_ms, n, unnest(range(n)) AS i
+  FROM (SELECT *, CASE WHEN end_ms - start_ms <= 1500 THEN 3 ELSE least(16, greatest(6, (end_ms - start_ms + 1499) // 1500)) END AS n FROM {c.SOUND_SHOTS}))"""
+
+# one row goes per step: of the most similar pair above the limits the one farther from the centre, nearer to an existing frame, later
+REDUNDANCY = f"""WITH RECURSIVE x AS (SELECT shot_id, candidate_id, frame_idx, center_distance, v, l, row_number() OVER (PARTITION BY shot_id ORDER BY frame_idx, center_distance, candidate_id) AS r FROM {_CANDIDATES} WHERE candidate_id % 5 <> 0),
+e AS (SELECT shot_id, list(frame_idx) AS fs FROM {_CANDIDATES} WHERE candidate_id % 5 = 0 GROUP BY 1),
+wx AS (SELECT x.*, rank() OVER (PARTITION BY x.shot_id ORDER BY center_distance, -coalesce(list_min(list_transform(e.fs, lambda f: abs(f - frame_idx))), 1152921504606846976), frame_idx, r) AS worth FROM x LEFT JOIN e ON x.shot_id = e.shot_id),
+p AS (SELECT a.shot_id, list({'{'}'s': list_inner_product(a.v, b.v) / (a.l * b.l), 'a': a.r, 'b': b.r, 'gone': CASE WHEN a.worth > b.worth THEN a.r ELSE b.r END{'}'}) AS pairs FROM wx a JOIN wx b ON a.shot_id = b.shot_id AND a.r < b.r
+  WHERE list_inner_product(a.v, b.v) / (a.l * b.l) > 0.95 GROUP BY 1),
+w AS (SELECT shot_id, pairs, CAST([] AS BIGINT[]) AS dropped, 0 AS i FROM p
+  UNION ALL SELECT shot_id, list_filter(pairs, lambda q: q.a <> gone AND q.b <> gone), list_append(dropped, gone), i + 1 FROM
+    (SELECT *, list_sort(list_transform(list_filter(pairs, lambda q: q.s >= list_max(list_transform(pairs, lambda z: z.s)) - 1e-12), lambda q: {'{'}'a': q.a, 'b': q.b, 'gone': q.gone{'}'}))[1].gone AS gone FROM w WHERE len(pairs) > 0)),
+g AS (SELECT shot_id, arg_max(dropped, i) AS dropped FROM w GROUP BY 1)
+SELECT x.shot_id, x.candidate_id FROM x LEFT JOIN g ON x.shot_id = g.shot_id WHERE NOT list_contains(coalesce(g.dropped, []), x.r) QUALIFY row_number() OVER (PARTITION BY x.shot_id ORDER BY (SELECT worth FROM wx WHERE wx.candidate_id = x.candidate_id)) <= 64"""
+
+CROSS_SHOT = f"""WITH RECURSIVE x AS (SELECT k.video_id, s.shot_index, candidate_id, frame_idx, center_distance, v, l FROM {_CANDIDATES} k JOIN {c.SOUND_SHOTS} s ON k.shot_id = s.shot_id WHERE k.video_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY video_id, shot_index ORDER BY frame_idx, center_distance) AS rn, count(*) OVER (PARTITION BY video_id, shot_index) AS n, dense_rank() OVER (PARTITION BY video_id ORDER BY shot_index NULLS FIRST) AS g FROM x),
+w AS (SELECT video_id, g, frame_idx, center_distance, v, l, true AS alive, false AS gone FROM o WHERE g = 1 AND rn = n
+  UNION ALL SELECT video_id, g, frame_idx, center_distance, v, l, NOT (gone AND n = 1), gone FROM
+    (SELECT z.video_id, z.g, z.frame_idx, z.center_distance, z.v, z.l, z.n, w.alive AND a.frame_idx - w.frame_idx <= 150 AND list_inner_product(a.v, w.v) / (a.l * w.l) > 0.9 AND (a.n > 1 OR a.center_distance > w.center_distance) AS gone
+     FROM w JOIN o a ON a.video_id = w.video_id AND a.g = w.g + 1 AND a.rn = 1 JOIN o z ON z.video_id = a.video_id AND z.g = a.g AND z.rn = z.n))
+SELECT o.video_id, o.candidate_id FROM o JOIN w ON o.video_id = w.video_id AND o.g = w.g WHERE NOT (o.rn = 1 AND w.gone)"""
+
 ALL = {
+    "cross_shot_dedup": CROSS_SHOT, "redundancy_dedup": REDUNDANCY.replace(" WHERE candidate_id % 5 <> 0", "").replace("WHERE candidate_id % 5 = 0", "WHERE false"),
+    "caption_times": CAPTION_TIMES, "redundancy_with_existing": REDUNDANCY,
     "nms": NMS, "ocr_temporal_dedup": TEMPORAL_TEXTS, "hash_text_cache": HASH_CACHE, "anchor_frames": ANCHORS, "time_keyframes": TIME_KEYFRAMES, "sparse_candidates": SPARSE, "facility_select": FACILITY,
     "transcript_coalesce": TRANSCRIPTS, "recognized_texts": RECOGNIZED, "embedding_uuids": UUIDS,
 }

@@ -78,6 +78,56 @@ def test_time_keyframes_against_brute_force():
         assert selectors.time_keyframes(start, end, dur, existing, min_gap=gap) == brute_time_keyframes(start, end, dur, existing, gap)
 
 
+def test_anchors_follow_the_number_of_frames():
+    assert selectors.temporal_anchors(0, 32_000) == [4000, 12000, 20000, 28000]
+    assert selectors.temporal_anchors(0, 32_000, frames=1) == [16000] and selectors.temporal_anchors(5, 6) == [5]
+
+
+def test_diverse_frames(spark):
+    shots = spark.createDataFrame([("s", 0, 8000)], "shot_id string, start_ms long, end_ms long")
+    frames = spark.createDataFrame([("a", "s", 4000, "extracted", 1), ("b", "s", 4100, "extracted", 2), ("c", "s", 7000, "extracted", 3), ("d", "s", 7500, "official", 4)], "frame_id string, shot_id string, timestamp_ms long, source string, frame_idx long")
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.1]), ("c", [0.0, 2.0]), ("d", None)], "frame_id string, vector array<double>")
+    got = {(r["frame_id"], r["reason"]) for r in selectors.anchor_frames(shots, frames, vectors=vectors).collect()}
+    assert got == {("a", "temporal_anchor"), ("c", "diverse"), ("b", "diverse")}
+    assert {r["frame_id"] for r in selectors.anchor_frames(shots, frames, vectors=vectors, most=2).collect()} == {"a", "c"}
+
+
+def test_caption_frames():
+    x = np.eye(5)
+    sharp, light = [50.0] * 5, [100.0] * 5
+    pick = lambda times, v=x, s=sharp, b=light, end=20_000, **kw: selectors.caption_pick(times, v, s, b, 0, end, **kw)
+    times = [0, 1000, 5000, 9000, 19_000]
+    assert pick([100, 500, 900], x[:3], end=1000) == [1]  # short: nearest the middle
+    assert pick([0, 1000, 4000], x[:3], end=5000) == [0, 2]  # medium: equally different, so the pair farthest apart
+    assert pick(times, most=3) == [0, 3, 4]
+    assert pick(times) == [0, 1, 2, 3, 4]
+    assert pick(times, s=[50.0, 1.0, 50.0, 50.0, 50.0]) == [0, 2, 3, 4] and pick(times, s=[1.0] * 5) == [0, 1, 2, 3, 4]
+    assert pick(times, b=[100.0, 3.0, 250.0, 100.0, 100.0]) == [0, 3, 4]
+    same = np.ones((5, 2))
+    assert pick(times, same, s=[50.0, 60.0, 70.0, 55.0, 50.0]) == [2]  # all alike: the sharpest
+
+
+def test_hybrid_keeps_clear_of_existing_frames(spark):
+    rows = [(i, "s", i * 10, [1.0, 0.0] if i < 3 else [0.0, 1.0], float(i)) for i in range(6)] + [(9, "t", 5, [1.0, 0.0], 0.0)]
+    k = spark.createDataFrame(rows, "candidate_id long, shot_id string, frame_idx long, clip_vector array<double>, center_distance double")
+    have = k.where("candidate_id IN (0, 9)")
+    got = selectors.hybrid_keyframes(k, existing=have)
+    assert [tuple(r) for r in got.select("shot_id", "candidate_id").collect()] == [("s", 3)]
+    shots = spark.createDataFrame([("s",), ("t",), ("u",)], "shot_id string")
+    status = {r["shot_id"]: (r["status"], r["selected"]) for r in selectors.selection_status(shots, k, got).collect()}
+    assert status == {"s": ("success", 1), "t": ("success", 0), "u": ("no_candidates", 0)}
+
+
+def test_histograms_decide_with_vectors(spark):
+    flat = [1.0] + [0.0] * 15
+    full, other = [0.25] * 16, [0.0] * 6 + [0.316] * 10
+    rows = {"frame_idx": [1, 2, 3], "clip_vector": [[1.0, 0.0]] * 3, "center_distance": [1.0, 2.0, 0.0], "histogram": [full, other, flat]}
+    pick = lambda r, **kw: selectors.drop_redundant(r, min_cosine=0.95, color_limit=0.8, existing=[], most=5, **kw)
+    assert pick(rows) == [0, 1]  # a flat picture goes, different colors stay
+    assert pick(rows | {"histogram": [full, full, flat]}) == [0]
+    assert selectors.drop_redundant(rows | {"histogram": [full, full, flat], "center_distance": [1.0, 1.0, 0.0]}, min_cosine=0.95, color_limit=0.8, existing=[3], most=5) == [0]
+
+
 def test_cluster_goldens():
     two = np.array([[0.0, 0.0], [1.0, 0.0]])
     assert selectors.cluster_pick(two, most=5) == [0]  # no usable clustering: the one nearest the mean
