@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelspan.functions import ids, text
 from reelspan.operators import joins
@@ -24,6 +25,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _rename(spark: SparkSession, src: str, dst: str) -> None:
     fs, p = _fs(spark, src)
     if not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)):
@@ -181,8 +189,32 @@ def publish_version(rows: DataFrame, root: str, version: str, counters: dict[str
     _put(spark, f"{root}/current.json", json.dumps({"version": version, "counters": counters or {}}))
 
 
+def publish_changes(batch: DataFrame, root: str, version: str, *, key: str, order: str, buckets: int = 64) -> None:
+    """A version in which the latest row per key wins; only the buckets the batch touches are written again.
+
+    A key belongs to a bucket by its hash; the pointer names the folder of each bucket.
+    """
+    spark = batch.sparkSession
+    target = f"{root}/versions/{version}"
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    new = stored(batch, "changes")
+    parts = json.loads(_get(spark, f"{root}/current.json")).get("parts", {}) if exists(spark, f"{root}/current.json") else {}
+    touched = [str(r["_b"]) for r in new.select(bucket.alias("_b")).distinct().collect()]  # at most ``buckets``
+    before = [parts[b] for b in touched if b in parts]
+    rows = new.unionByName(spark.read.schema(new.schema).parquet(*before)) if before else new
+    after = last_per_key(rows, key, order).select(*new.columns).withColumn("_b", bucket)
+    after.repartition("_b").write.partitionBy("_b").parquet(target)
+    parts |= {b: f"{target}/_b={b}" for b in touched}
+    _put(spark, f"{root}/current.json", json.dumps({"version": version, "counters": {}, "parts": parts, "schema": new.schema.json()}))
+
+
 def current_version(spark: SparkSession, root: str) -> tuple[DataFrame, dict[str, int]]:
+    """The rows the pointer names, and the counters published with them."""
     at = json.loads(_get(spark, f"{root}/current.json"))
+    if "parts" in at:
+        schema = T.StructType.fromJson(json.loads(at["schema"]))
+        paths = sorted(at["parts"].values())
+        return (spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)), at["counters"]
     return spark.read.parquet(f"{root}/versions/{at['version']}"), at["counters"]
 
 

@@ -38,17 +38,40 @@ def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoin
     guard_resume(spark, checkpoint, config or {})
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        version = f"{batch_id:010d}"
-        if sinks.exists(batch.sparkSession, f"{target}/versions/{version}"):
-            return
-        rows = batch
-        if sinks.exists(batch.sparkSession, f"{target}/current.json"):
-            rows = sinks.current_version(batch.sparkSession, target)[0].unionByName(batch)
-        sinks.publish_version(sinks.last_per_key(rows, key, order).select(*batch.columns), target, version)
+        spark, version = batch.sparkSession, f"{batch_id:010d}"
+        if sinks.exists(spark, f"{target}/current.json") and json.loads(sinks._get(spark, f"{target}/current.json"))["version"] >= version:
+            return  # this batch was published before
+        sinks.remove(spark, f"{target}/versions/{version}")  # left by a run that did not reach the pointer
+        sinks.publish_changes(batch, target, version, key=key, order=order)
 
     file_stream(spark, source, schema).writeStream.foreachBatch(merge).option("checkpointLocation", f"{checkpoint}/log").trigger(availableNow=True).start().awaitTermination()
 
 
+def split_late(stream: DataFrame, root: str, *, time: str, delay_ms: int) -> tuple[DataFrame, DataFrame]:
+    """Run a stream over what there is now; (rows in time, rows that came too late), all of them kept.
+
+    A row is late if its time lies more than ``delay_ms`` before the greatest time of earlier
+    batches. Late rows wait in a pending folder. A batch run twice writes the same folders.
+    """
+    schema = stream.schema
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, f"{root}/seen/{batch_id:010d}.json"
+        before = f"{root}/seen/{batch_id - 1:010d}.json"
+        top = json.loads(sinks._get(spark, before))["top"] if sinks.exists(spark, before) else None
+        rows = stored(batch, "batch")
+        late = F.lit(False) if top is None else F.coalesce(F.unix_millis(time) < top - delay_ms, F.lit(False))
+        rows.where(~late).write.mode("overwrite").parquet(f"{root}/rows/{batch_id:010d}")
+        rows.where(late).write.mode("overwrite").parquet(f"{root}/pending/{batch_id:010d}")
+        most = rows.agg(F.max(F.unix_millis(time))).first()[0]
+        sinks._put(spark, seen, json.dumps({"top": max((x for x in (top, most) if x is not None), default=None)}))
+
+    stream.writeStream.foreachBatch(put).option("checkpointLocation", f"{root}/log").trigger(availableNow=True).start().awaitTermination()
+    spark = stream.sparkSession
+    read = lambda name: spark.read.schema(schema).parquet(f"{root}/{name}/*") if sinks.exists(spark, f"{root}/{name}") else spark.createDataFrame([], schema)
+    return read("rows"), read("pending")
+
+
 def windowed_counts(events: DataFrame, *, time: str = "ts", key: str = "event_type", length: str = "10 seconds", slide: str | None = "8 seconds", delay: str = "1 minute") -> DataFrame:
     """Counts per sliding window and key; late rows within the delay still count."""
     win = F.window(time, length, slide) if slide else F.window(time, length)
@@ -133,4 +156,4 @@ def run_once(stream: DataFrame, name: str, *, mode: str = "append", checkpoint:
     return spark.read.schema(stream.schema).parquet(results[-1])
 
 
-__all__ = ["file_stream", "gated", "guard_resume", "ingest", "run_once", "sessions", "stored", "track_states", "windowed_counts"]
+__all__ = ["file_stream", "gated", "guard_resume", "ingest", "run_once", "sessions", "split_late", "stored", "track_states", "windowed_counts"]
