@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelspan.session import stored
+
 BITS = 16
 TIERS = 4
 STRETCH_BITS = 22
@@ -143,7 +145,7 @@ def interval_runs(df: DataFrame, entity: str, start: str = "start_ms", end: str
 
 def _ordered(runs: DataFrame) -> DataFrame:
     """Runs with ``before``: the furthest end of all runs of the entity that start earlier."""
-    runs = runs.withColumn("stretch", F.shiftright("lo", STRETCH_BITS))
+    runs = stored(runs.withColumn("stretch", F.shiftright("lo", STRETCH_BITS)), "runs")  # read twice
     inner = Window.partitionBy("entity", "stretch").orderBy("lo", F.col("hi").desc())
     local = runs.withColumn("seen", F.max("hi").over(inner.rowsBetween(Window.unboundedPreceding, -1)))
     sums = runs.groupBy("entity", "stretch").agg(F.max("hi").alias("top"))
