@@ -28,6 +28,58 @@ class Detector(Protocol):
     def detect(self, item: object) -> list[dict]: ...
 
 
+class TextReader(Protocol):
+    """A picture to recognized texts: text, confidence and a box of pixels each."""
+
+    def read(self, item: object) -> list[dict]: ...
+
+
+class SpeechReader(Protocol):
+    """A stretch of sound to segments: start_ms, end_ms and text each."""
+
+    def transcribe(self, item: object) -> list[dict]: ...
+
+
+class Captioner(Protocol):
+    """Pictures and an instruction to one answer."""
+
+    def describe(self, items: list[object], instruction: str) -> str: ...
+
+
+class ShotScorer(Protocol):
+    """A window of small frames to one transition score per frame."""
+
+    def scores(self, frames: np.ndarray) -> np.ndarray: ...
+
+
+class FallbackEncoder:
+    """The first encoder; for a batch on which it raises, the second. Memory errors are passed on, as batches are halved for them."""
+
+    def __init__(self, first: Encoder, second: Encoder):
+        self.first, self.second = first, second
+
+    def encode(self, items: list[object]) -> np.ndarray:
+        try:
+            return self.first.encode(items)
+        except MemoryError:
+            raise
+        except Exception:  # whatever the model raises
+            return self.second.encode(items)
+
+
+def map_rows(df: DataFrame, column: str, factory: Callable[[], object], method: str, schema: str, *, key: str, **arguments: object) -> DataFrame:
+    """One row per result of ``method`` (a list of dicts) on each input: readers of text or speech, or any callable of that form."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        call = getattr(factory(), method)
+        for b in batches:
+            rows = [{key: k, **d} for k, x in zip(b[key], b[column]) for d in call(x, **arguments)]
+            yield pd.DataFrame(rows, columns=names)
+
+    return df.where(F.col(column).isNotNull()).select(key, column).mapInPandas(run, schema)
+
+
 class HashEncoder:
     """A stand-in: unit vectors drawn from a hash of the input."""
 

@@ -386,3 +386,20 @@ def test_parents(spark):
     a, b = spark.createDataFrame([("x",), (None,)], "k string"), spark.createDataFrame([("y",)], "k string")
     assert [r["k"] for r in joins.missing_parents(a, b, "k").collect()] == ["x"]
     assert {(r["k"], r["side"]) for r in joins.symmetric_difference(a.where("k IS NOT NULL"), b, "k").collect()} == {("x", "left"), ("y", "right")}
+
+
+def test_fallback_encoder_and_row_readers(spark):
+    class Fails:
+        def encode(self, items):
+            raise RuntimeError("no model")
+
+    class Words:
+        def transcribe(self, item, step=10):
+            return [{"start_ms": i * step, "end_ms": (i + 1) * step, "text": w} for i, w in enumerate(item.split())]
+
+    df = spark.createDataFrame([("a", "one two"), ("b", None), ("c", "three")], "k string, sound string")
+    got = {r["k"]: r["vector"] for r in adapters.encode_column(df, "sound", lambda: adapters.FallbackEncoder(Fails(), adapters.HashEncoder(4)), key="k").collect()}
+    want = adapters.HashEncoder(4).encode(["one two", "three"])
+    assert got["a"] == pytest.approx(want[0].tolist()) and got["c"] == pytest.approx(want[1].tolist()) and set(got) == {"a", "c"}
+    rows = adapters.map_rows(df, "sound", Words, "transcribe", "k string, start_ms long, end_ms long, text string", key="k", step=5).collect()
+    assert sorted((r["k"], r["start_ms"], r["text"]) for r in rows) == [("a", 0, "one"), ("a", 5, "two"), ("c", 0, "three")]
