@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,16 +48,16 @@ def vector_faults(v: Column, dim: int, *, unit_tolerance: float | None = 1e-3) -
 def mean_pool(df: DataFrame, keys: list[str], vector: str, *, weight: Column | None = None, dim: int | None = None) -> DataFrame:
     """keys and ``pooled``: the (weighted) mean of vectors per key, scaled to length 1.
 
-    With ``dim`` every dimension is a sum of its own and a task passes on one row per key;
-    vectors of another length or with a null take no part. Without it vectors of any
+    With ``dim`` a task adds up whole vectors and passes on one row per key; vectors of
+    another length or with a null take no part, weights are not negative. Without it vectors of any
     length are added up by position, as rows. Either way no key is gathered anywhere.
     """
     w = F.lit(1.0) if weight is None else weight
     if dim is not None:
         whole = (F.size(vector) == dim) & F.forall(vector, lambda x: x.isNotNull())
-        flat = df.where(whole).select(*keys, w.cast("double").alias("_w"), *[F.col(vector)[i].cast("double").alias(f"_x{i}") for i in range(dim)])
-        per = flat.groupBy(*keys).agg(F.sum("_w").alias("_n"), *[F.sum(F.col("_w") * F.col(f"_x{i}")).alias(f"_x{i}") for i in range(dim)])
-        return per.select(*keys, normalize(F.transform(F.array(*[f"_x{i}" for i in range(dim)]), lambda s: s / F.col("_n"))).alias("pooled"))
+        rows = df.where(whole).select(*keys, w.cast("double").alias("_w"), array_to_vector(F.col(vector).cast("array<double>")).alias("_v"))
+        per = rows.groupBy(*keys).agg(Summarizer.mean(F.col("_v"), F.col("_w")).alias("_m"))
+        return per.select(*keys, normalize(vector_to_array("_m")).alias("pooled"))
     flat = df.select(*keys, w.alias("_w"), F.posexplode(vector).alias("_i", "_x"))
     per = flat.groupBy(*keys, "_i").agg((F.sum(F.col("_w") * F.col("_x").cast("double")) / F.sum("_w")).alias("_m"))
     back = per.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_m"))), lambda s: s["_m"]).alias("_v"))

@@ -42,15 +42,13 @@ def scene_shots(scenes: DataFrame, fps: Column, *, video: str = "video_id") -> D
 def merge_short_shots(shots: DataFrame, min_ms: int = 500, *, video: str = "video_id") -> DataFrame:
     """Shots below ``min_ms`` join the one before; a short first group joins the next. Renumbered with ids."""
     spans = [f(n).alias(n) for f, n in ((F.min, "start_ms"), (F.max, "end_ms"), (F.min, "start_frame_idx"), (F.max, "end_frame_idx"))]
-    placed = Placed(shots, [video], ["start_frame_idx"]).numbered("_n")
-    placed.rows = placed.rows.withColumn("_own", ((F.col("_n") == 1) | (F.col("end_ms") - F.col("start_ms") >= min_ms)).cast("int"))
-    grouped = placed.running("_own", "_g").result().groupBy(video, "_g").agg(*spans)
-    # videos whose first group is short and has another one to join
-    first = grouped.where("_g <= 2").groupBy(video).agg(F.max(F.when(F.col("_g") == 1, F.col("end_ms") - F.col("start_ms"))).alias("_first"), F.max("_g").alias("_most"))
-    short = first.where((F.col("_first") < min_ms) & (F.col("_most") > 1)).select(video, F.lit(1).alias("_join"))
-    moved = grouped.join(short, video, "left").withColumn("_g", F.when((F.col("_g") == 1) & (F.col("_join") == 1), 2).otherwise(F.col("_g")))
-    joined = moved.groupBy(video, "_g").agg(*spans).drop("_g")
-    numbered = Placed(joined, [video], ["start_frame_idx"]).numbered("shot_index").result().withColumn("shot_index", (F.col("shot_index") - 1).cast("int"))
+    own = shots.withColumn("_own", (F.col("end_ms") - F.col("start_ms") >= min_ms).cast("int"))
+    # group 0: the short shots ahead of the first long one, if any
+    grouped = Placed(own, [video], ["start_frame_idx"]).running("_own", "_g").result().groupBy(video, "_g").agg(*spans)
+    ahead = grouped.where("_g <= 1").groupBy(video).agg(F.max(F.when(F.col("_g") == 0, F.col("end_ms") - F.col("start_ms"))).alias("_ahead"), F.max("_g").alias("_next"))
+    first = ahead.select(video, ((F.col("_ahead") < min_ms) & (F.col("_next") == 1)).alias("_join"), F.when(F.col("_ahead").isNull() | ((F.col("_ahead") < min_ms) & (F.col("_next") == 1)), 1).otherwise(0).alias("_base"))
+    moved = grouped.join(first, video).withColumn("_g", F.when((F.col("_g") == 0) & F.col("_join"), 1).otherwise(F.col("_g")))
+    numbered = moved.groupBy(video, "_g", "_base").agg(*spans).withColumn("shot_index", (F.col("_g") - F.col("_base")).cast("int")).drop("_g", "_base")
     return numbered.withColumn("shot_id", ids.shot_id(F.col(video), F.col("shot_index")))
 
 
