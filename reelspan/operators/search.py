@@ -200,7 +200,7 @@ def paged(scored: DataFrame, q: SearchQuery, key: str = "doc_id") -> DataFrame:
     return scored.orderBy(*order).offset(q.offset).limit(q.top_k)
 
 
-def matches(documents: DataFrame, query: SearchQuery, index: DataFrame | None = None) -> DataFrame:
+def _hits(documents: DataFrame, query: SearchQuery, index: DataFrame | None) -> DataFrame:
     """Hits of a query: phrase in content (x6), best boosted field, phrase in a region (x3), content terms within the edit distance (x1); one clause must match.
 
     Only the hits of a query leave the index; the documents are read once for filters and highlights.
@@ -218,16 +218,27 @@ def matches(documents: DataFrame, query: SearchQuery, index: DataFrame | None =
             near = fuzzy_terms(index, w).select("term")
             clauses.append(index.where("field = 'content'").join(near, "term", "left_semi").select("doc_id").distinct().withColumn("score", F.lit(1.0)))
     total = reduce(DataFrame.unionByName, clauses).groupBy("doc_id").agg(F.sum("score").alias("score"))
-    hits = found.join(total, "doc_id")
-    if q.use_highlight:
-        marked = F.transform(F.filter("regions", lambda r: has_phrase(r["text"], words)), lambda r: highlighted(r["text"], [q.query_text]))
-        hits = hits.withColumn("highlight", highlighted(F.col("content"), [q.query_text])).withColumn("region_highlights", marked)
-    return hits
+    return found.join(total, "doc_id")
+
+
+def _marked(hits: DataFrame, q: SearchQuery) -> DataFrame:
+    """Hits with ``highlight`` and the marked texts of matching regions, if the query wants them."""
+    if not q.use_highlight:
+        return hits
+    words = _fold_query(q.query_text)
+    marked = F.transform(F.filter("regions", lambda r: has_phrase(r["text"], words)), lambda r: highlighted(r["text"], [q.query_text]))
+    return hits.withColumn("highlight", highlighted(F.col("content"), [q.query_text])).withColumn("region_highlights", marked)
+
+
+def matches(documents: DataFrame, query: SearchQuery, index: DataFrame | None = None) -> DataFrame:
+    """All hits of a query."""
+    return _marked(_hits(documents, query, index), query.checked())
 
 
 def search(documents: DataFrame, query: SearchQuery, index: DataFrame | None = None) -> DataFrame:
-    """One page of the matches of a query."""
-    return paged(matches(documents, query, index), query.checked())
+    """One page of the hits of a query; only what is shown is marked."""
+    q = query.checked()
+    return _marked(paged(_hits(documents, q, index), q), q)
 
 
 def _fold_query(s: str) -> list[str]:
