@@ -12,8 +12,10 @@ a bounded sample of that leaf, level after level; the margin of the path so far
 the vector, so that after each level the ``visits`` best leaves of the whole forest are
 kept again. Nothing is cut off: splitting ends when all leaves fit or when a level parts no
 leaf any more (more than ``leaf_cap`` vectors within rounding of each other, which are then
-scored in blocks). Work per row and level does not depend on the number of rows; the
-broadcast model is bounded by sample and tree count.
+scored in blocks). Each splitting parts some near vectors, so the leaves visited grow with the
+depth of the trees (the logarithm of the rows). Neighbours the forest has parted are
+found through a common neighbour: the neighbours of every vector are compared with each other.
+The broadcast model is bounded by sample and tree count.
 
 Defined cases: vectors that are null, of another length, all zero or with null, NaN or
 infinite values take no part; repeated ids count once; ties in cosine go to the smaller
@@ -24,7 +26,7 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -37,15 +39,21 @@ from reelspan.session import stored
 
 @dataclass(frozen=True)
 class ForestConfig:
-    """trees, leaves visited per query, sample for fitting, intended and greatest leaf size."""
+    """trees, leaves visited per query, sample for fitting, intended and greatest leaf size, neighbours compared through one vector."""
 
     trees: int = 8
     visits: int = 8
     sample_rows: int = 20_000
     leaf_rows: int = 2_000
     leaf_cap: int = 8_000
+    linked: int = 32
     seed: int = 7
 
+    def visits_for(self, total: int) -> int:
+        """``visits`` holds for trees of up to 6 levels (64 leaves); deeper trees are searched in proportion to their depth."""
+        depth = np.log2(max(total / self.leaf_rows, 1))
+        return max(self.visits, int(np.ceil(self.visits * depth / 6)))
+
 
 class Tree:
     """A binary tree in heap-free arrays: children < 0 are leaves ~child."""
@@ -350,9 +358,58 @@ def _score(dim: int, k: int, min_cosine: float):
     return score
 
 
+def _compare_linked(dim: int, min_cosine: float):
+    """(a, b, cosine), a < b: pairs of members of one center; rows (center, m, v) sorted by center."""
+
+    def pairs(center: np.ndarray, m: np.ndarray, v: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = np.arange(len(center))
+        partners = np.searchsorted(center, center, side="right") - rows - 1
+        before = np.concatenate([[0], np.cumsum(partners)])
+        for lo in range(0, int(before[-1]), 20_000):
+            n = np.arange(lo, min(lo + 20_000, int(before[-1])))
+            i = np.searchsorted(before, n, side="right") - 1
+            j = i + 1 + n - before[i]
+            exact = np.einsum("ij,ij->i", v[i].astype(np.float64), v[j].astype(np.float64))
+            near = exact >= min_cosine
+            a, b = m[i[near]], m[j[near]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(exact[near])], names=["a", "b", "cosine"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center, m, v = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, dim), np.float32)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            center, m, v = np.concatenate([center, b.column("center").to_numpy()]), np.concatenate([m, b.column("m").to_numpy()]), np.concatenate([v, _matrix(b.column("v"), dim)])
+            open_from = int(np.searchsorted(center, center[-1]))  # the last center may go on in the next batch
+            yield from pairs(center[:open_from], m[:open_from], v[:open_from])
+            center, m, v = center[open_from:], m[open_from:], v[open_from:]
+        yield from pairs(center, m, v)
+
+    return compare
+
+
+def linked_neighbours(classes: DataFrame, found: DataFrame, dim: int, k: int, min_cosine: float, config: ForestConfig) -> DataFrame:
+    """(a, b, cosine): up to k best of those found, in either direction, and of those that share a neighbour.
+
+    Of each vector its ``linked`` best neighbours are compared with each other; this bounds
+    what one vector in the middle of many adds and takes nothing away from ``found``.
+    """
+    known = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "cosine")
+    both = lambda pairs: pairs.select(F.explode(F.array(F.struct("a", "b", "cosine"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "cosine"))).alias("p")).select("p.*")
+    once = lambda pairs: pairs.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    w = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+    links = both(once(known)).withColumn("n", F.row_number().over(w)).where(F.col("n") <= config.linked)
+    groups = links.groupBy("a").agg(F.collect_list("b").alias("m")).where(F.size("m") > 1).select(F.col("a").alias("center"), F.explode("m").alias("m"))
+    members = groups.join(classes.withColumnRenamed("cls", "m"), "m").select("center", "m", "v")
+    compared = members.repartition("center").sortWithinPartitions("center").mapInArrow(_compare_linked(dim, min_cosine), "a long, b long, cosine double")
+    ranked = both(once(known.unionByName(compared))).withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
+    return ranked.drop("n")
+
+
 def class_neighbours(classes: DataFrame, k: int, min_cosine: float, config: ForestConfig) -> DataFrame:
     """(a, b, cosine): up to k best other classes of each class, cosine at least min_cosine."""
     total = classes.count()
+    config = replace(config, visits=config.visits_for(total))
     trees, dim = fit_forest(classes, total, config)
     if not trees:
         return classes.sparkSession.createDataFrame([], "a long, b long, cosine double")
@@ -362,7 +419,8 @@ def class_neighbours(classes: DataFrame, k: int, min_cosine: float, config: Fore
     placed = routed.repartition("leaf").sortWithinPartitions("leaf", "role")
     pairs = placed.mapInArrow(_score(dim, k, min_cosine), "a long, b long, cosine double")
     best = pairs.groupBy("a").agg(F.slice(F.sort_array(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "b"))), 1, k).alias("top"))
-    return best.select("a", F.explode("top").alias("t")).select("a", F.col("t.b").alias("b"), (-F.col("t.far")).alias("cosine"))
+    found = best.select("a", F.explode("top").alias("t")).select("a", F.col("t.b").alias("b"), (-F.col("t.far")).alias("cosine"))
+    return linked_neighbours(classes, stored(found, "found"), dim, k, min_cosine, config)
 
 
 def similar_pairs(df: DataFrame, id_col: str, vector_col: str, *, k: int = 5, min_cosine: float = 0.85, dim: int = 64, config: ForestConfig = ForestConfig()) -> DataFrame:

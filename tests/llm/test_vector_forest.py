@@ -128,3 +128,29 @@ def test_recall_queries(spark):
         got = {(min(r["q"], r["other"]), max(r["q"], r["other"])) for r in vf.recall_queries(df, "i", "v", dim=8, block=block).collect()}
         assert got <= want and {p for p in want if p[0] % 50 == 0 and p[1] % 50 == 0} <= got | want
         assert len(got) >= 6
+
+
+def test_deep_trees_lose_few_neighbours(spark):
+    rows = clustered(6000, seed=3)
+    want, got = exact(rows, 5, 0.85), pairs(spark, rows, config=vf.ForestConfig(leaf_rows=8, leaf_cap=64))
+    assert len(want & got) >= 0.985 * len(want)
+    assert len(got - want) <= 0.015 * len(want)
+
+
+def test_visits_grow_with_depth():
+    config = vf.ForestConfig()
+    assert [config.visits_for(n) for n in (0, 1, 128_000, 8_192_000, 32_768_000)] == [8, 8, 8, 16, 19]
+
+
+@pytest.mark.parametrize("cut", [1, 3, 100])
+def test_linked_members_are_compared_across_batches(cut):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(40, 8)) + 1.5
+    v = (v / np.linalg.norm(v, axis=1)[:, None]).astype(np.float32)
+    center = np.sort(rng.integers(0, 7, 40))
+    whole = pa.RecordBatch.from_arrays([pa.array(center), pa.array(np.arange(40)[::-1].copy()), pa.array(v.tolist(), pa.list_(pa.float32()))], names=["center", "m", "v"])
+    got = sorted((r["a"], r["b"]) for b in vf._compare_linked(8, 0.8)(whole.slice(i, cut) for i in range(0, 40, cut)) for r in b.to_pylist())
+    cos = v.astype(float) @ v.T.astype(float)
+    assert got == sorted((39 - j, 39 - i) for i in range(40) for j in range(i + 1, 40) if center[i] == center[j] and cos[i, j] >= 0.8)
