@@ -10,6 +10,9 @@ from reelspan.session import scratch_path, table
 from reelspan.sources import sinks
 from reelspan.streaming import incremental
 
+#: Observations that share a track state, on average.
+GROUP_ROWS = 4_000
+
 
 def _events(spark: SparkSession, d: str, *columns: str, closed: bool = False) -> DataFrame:
     """The event table as a stream; ``closed`` adds a row far behind the last one, so that the watermark passes all events."""
@@ -75,7 +78,8 @@ def stream_tracks(spark: SparkSession, d: str) -> DataFrame:
     flush = last.where("event_time IS NOT NULL").select(*[empty.get(n, F.col("event_time") + F.expr("INTERVAL 1 DAY")).alias(n) for n in rows.columns]).withColumn("timestamp_ms", F.unix_millis("event_time"))
     flush.write.mode("append").parquet(f"{root}/in")
     stream = spark.readStream.schema("shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double").parquet(f"{root}/in")
-    return incremental.run_once(incremental.track_states(stream), "tracks")
+    groups = max(1, -(-spark.read.schema(rows.schema).parquet(f"{root}/in").count() // GROUP_ROWS))
+    return incremental.run_once(incremental.track_states(stream, groups=groups), "tracks")
 
 
 def queries() -> dict:

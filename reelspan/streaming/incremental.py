@@ -14,6 +14,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from reelspan.session import stored
 from reelspan.sources import sinks
 
+#: Observations a track state takes in, at least, before it merges them.
+MERGE_ROWS = 20_000
+
 
 def guard_resume(spark: SparkSession, root: str, config: dict) -> None:
     """Refuse to resume a checkpoint that was made under another configuration."""
@@ -101,37 +104,59 @@ def merge_spans(spans: list[tuple], idle_ms: int) -> list[tuple]:
     return out
 
 
-def track_states(observations: DataFrame, *, delay: str = "10 seconds", idle_ms: int = 2000) -> DataFrame:
+def track_states(observations: DataFrame, *, delay: str = "10 seconds", idle_ms: int = 2000, groups: int = 64) -> DataFrame:
     """Tracks of a stream of observations (shot_id, class_id, local_id, event_time, timestamp_ms, confidence).
 
     A gap above ``idle_ms`` of event time ends a track. It is emitted, and leaves the state, when the
     watermark has passed that gap; until then late rows may still join tracks or lie between them.
+    Objects share ``groups`` states, by hash, so that the cost of a state is spread over many short
+    tracks; a checkpoint holds for one number of groups.
     """
+    ids = ["shot_id", "class_id", "local_id"]
+
+    def merged(spans: dict[tuple, list[tuple]]) -> dict[tuple, list[tuple]]:
+        return {k: merge_spans(x, idle_ms) if len(x) > 1 else x for k, x in spans.items()}
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        spans = list(zip(*state.get)) if state.exists else []
+        spans: dict[tuple, list[tuple]] = {}
+        for k0, k1, k2, *x in zip(*state.get) if state.exists else ():
+            spans.setdefault((k0, k1, k2), []).append(tuple(x))
         if not state.hasTimedOut:
+            held, fresh = sum(map(len, spans.values())), 0
             for b in batches:
+                keys = zip(*(b[n].astype(object).where(b[n].notna(), None).tolist() for n in ids))
                 at, ms = b["_at"].astype("int64").tolist(), b["timestamp_ms"].astype("int64").tolist()
-                spans = merge_spans(spans + [(t, t, 1, c, m, m) for t, m, c in zip(at, ms, b["confidence"].fillna(0.0).astype(float).tolist())], idle_ms)
+                for k, t, m, c in zip(keys, at, ms, b["confidence"].fillna(0.0).astype(float).tolist()):
+                    spans.setdefault(k, []).append((t, t, 1, c, m, m))
+                fresh += len(b)
+                if fresh > max(MERGE_ROWS, held):
+                    spans = merged(spans)
+                    held, fresh = sum(map(len, spans.values())), 0
+            spans = merged(spans)
         now = state.getCurrentWatermarkMs()
-        closed, left = [x for x in spans if x[1] + idle_ms < now], [x for x in spans if x[1] + idle_ms >= now]
+        closed, left = [], []
+        for k, xs in spans.items():
+            for x in xs:
+                (closed if x[1] + idle_ms < now else left).append((*k, *x))
         if left:
             state.update(tuple(list(v) for v in zip(*left)))
-            state.setTimeoutTimestamp(max(min(x[1] for x in left) + idle_ms, now + 1))
+            state.setTimeoutTimestamp(max(min(x[4] for x in left) + idle_ms, now + 1))
         elif state.exists:
             state.remove()
         if closed:
-            rows = [(*key, lo, max(hi, lo + 1), n, total / n) for _, _, n, total, lo, hi in closed]
-            yield pd.DataFrame(rows, columns=["shot_id", "class_id", "local_id", "start_ms", "end_ms", "observation_count", "average_confidence"])
+            rows = [(*k, lo, max(hi, lo + 1), n, total / n) for *k, _, _, n, total, lo, hi in closed]
+            yield pd.DataFrame(rows, columns=[*ids, "start_ms", "end_ms", "observation_count", "average_confidence"])
 
-    return observations.withWatermark("event_time", delay).withColumn("_at", F.unix_millis("event_time")).groupBy("shot_id", "class_id", "local_id").applyInPandasWithState(
+    # local_id travels as text: pandas makes floats of integers with nulls
+    shared = observations.withWatermark("event_time", delay).withColumns({"_at": F.unix_millis("event_time"), "_group": F.pmod(F.xxhash64(*ids), F.lit(groups)), "local_id": F.col("local_id").cast("string")})
+    tracks = shared.groupBy("_group").applyInPandasWithState(
         step,
-        "shot_id string, class_id string, local_id long, start_ms long, end_ms long, observation_count long, average_confidence double",
-        "first array<long>, last array<long>, n array<long>, total array<double>, lo array<long>, hi array<long>",
+        "shot_id string, class_id string, local_id string, start_ms long, end_ms long, observation_count long, average_confidence double",
+        "shot_id array<string>, class_id array<string>, local_id array<string>, first array<long>, last array<long>, n array<long>, total array<double>, lo array<long>, hi array<long>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+    return tracks.withColumn("local_id", F.col("local_id").cast("long"))
 
 
 def run_once(stream: DataFrame, name: str, *, mode: str = "append", checkpoint: str | None = None, keep: bool = True) -> DataFrame:

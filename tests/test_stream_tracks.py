@@ -21,3 +21,36 @@ def test_late_rows_join_tracks_over_batches(spark):
         spark.createDataFrame([("s", "c", 1, t0 + timedelta(milliseconds=m), m, 0.5) for m in ms], schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
     stream = incremental.track_states(incremental.file_stream(spark, f"{root}/in", schema, max_files=1))
     assert [(r["start_ms"], r["end_ms"], r["observation_count"]) for r in incremental.run_once(stream, "late").collect()] == [(0, 4000, 3)]
+
+
+def test_many_objects_share_few_states(spark):
+    root, t0 = scratch_path(spark, "many"), datetime(2025, 1, 1)
+    schema = "shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double"
+    objects = [(f"s{i}", "c", 2**60 + i) for i in range(300)] + [("s0", "c", None), (None, "c", 1), ("s0", None, 1)]
+    late = {0: 3000, 1: 9000, 2: 500}  # joins, opens another track, begins earlier
+    for times in ({i: [1000, 3000] for i in range(len(objects))}, {i: [t] for i, t in late.items()}, {0: [600_000]}):
+        rows = [(*objects[i], t0 + timedelta(milliseconds=t), t, 0.5) for i, ts in times.items() for t in ts]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = incremental.track_states(incremental.file_stream(spark, f"{root}/in", schema, max_files=1))
+    query = stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/log").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert 0 < max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 64  # one state an object: 303
+    want = {(*o, 1000, 3000, 2, 0.5) for o in objects[3:]}
+    want |= {(*objects[0], 1000, 3000, 3, 0.5), (*objects[1], 1000, 3000, 2, 0.5), (*objects[1], 9000, 9001, 1, 0.5), (*objects[2], 500, 3000, 3, 0.5)}
+    got = [tuple(r) for r in spark.read.parquet(f"{root}/out").collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_a_state_of_many_rows_is_merged_on_the_way(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "MERGE_ROWS", 5)
+    root, t0 = scratch_path(spark, "hot"), datetime(2025, 1, 1)
+    rows = [("s", "c", 1, t0 + timedelta(milliseconds=t), t, 0.5) for t in [*range(40_000, -1, -1000), *range(60_000, 100_000, 4000), 900_000]]
+    spark.createDataFrame(rows, "shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double").coalesce(1).write.parquet(f"{root}/in")
+    stream = incremental.track_states(incremental.file_stream(spark, f"{root}/in", "shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((r["start_ms"], r["end_ms"], r["observation_count"]) for r in incremental.run_once(stream, "hot").collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == [(0, 40_000, 41)] + [(t, t + 1, 1) for t in range(60_000, 100_000, 4000)]
