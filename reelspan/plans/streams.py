@@ -12,6 +12,8 @@ from reelspan.streaming import incremental
 
 #: Observations that share a track state, on average.
 GROUP_ROWS = 4_000
+#: Observations fed to the track states at a time.
+SLICE_ROWS = 4_000_000
 
 
 def _events(spark: SparkSession, d: str, *columns: str, closed: bool = False) -> DataFrame:
@@ -68,18 +70,31 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stream_tracks(spark: SparkSession, d: str) -> DataFrame:
-    """Tracks closed by event time; a row far behind the last one closes those still open at the end."""
+    """Tracks closed by event time; a row far behind the last one closes those still open at the end.
+
+    The frames are fed in slices of time, so that the states hold the tracks of one slice.
+    """
     f = c.frames(spark, d).where("shot_id IS NOT NULL AND timestamp_ms IS NOT NULL")
     rows = f.select("shot_id", F.col("source").alias("class_id"), F.lit(0).cast("long").alias("local_id"), F.timestamp_millis(F.col("timestamp_ms") + 86_400_000).alias("event_time"), "timestamp_ms", F.col("fps").alias("confidence"))
     root = scratch_path(spark, "tracks")
-    rows.write.parquet(f"{root}/in")
-    last = spark.read.schema(rows.schema).parquet(f"{root}/in").agg(F.max("event_time").alias("event_time"))
+    rows.write.parquet(f"{root}/rows")
+    kept = spark.read.schema(rows.schema).parquet(f"{root}/rows")
+    count, last = kept.count(), kept.agg(F.max("event_time").alias("event_time"))
     empty = {n: F.lit(None).cast(t) for n, t in rows.dtypes if n != "event_time"}
     flush = last.where("event_time IS NOT NULL").select(*[empty.get(n, F.col("event_time") + F.expr("INTERVAL 1 DAY")).alias(n) for n in rows.columns]).withColumn("timestamp_ms", F.unix_millis("event_time"))
-    flush.write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema("shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double").parquet(f"{root}/in")
-    groups = max(1, -(-spark.read.schema(rows.schema).parquet(f"{root}/in").count() // GROUP_ROWS))
-    return incremental.run_once(incremental.track_states(stream, groups=groups), "tracks")
+    groups, slices = max(1, -(-min(count, SLICE_ROWS) // GROUP_ROWS)), -(-count // SLICE_ROWS)
+    feed = f"{root}/in" if slices > 1 else f"{root}/rows"
+    tracks = lambda: incremental.run_once(incremental.track_states(incremental.file_stream(spark, feed, "shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double"), groups=groups), "tracks", checkpoint=f"{root}/run")
+    if slices > 1:
+        edges = sorted(set(kept.approxQuantile("timestamp_ms", [i / slices for i in range(1, slices)], 0.1 / slices)))
+        part = sum([(F.col("timestamp_ms") >= int(e)).cast("int") for e in edges], F.lit(0))
+        kept.withColumn("_slice", part).repartition("_slice", F.pmod(F.xxhash64("shot_id"), F.lit(8))).write.partitionBy("_slice").parquet(f"{root}/slices")
+        for i in range(len(edges) + 1):
+            if sinks.exists(spark, f"{root}/slices/_slice={i}"):
+                spark.read.schema(rows.schema).parquet(f"{root}/slices/_slice={i}").write.mode("append").parquet(feed)
+                tracks()
+    flush.write.mode("append").parquet(feed)
+    return tracks()
 
 
 def queries() -> dict:

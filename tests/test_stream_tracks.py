@@ -14,6 +14,19 @@ def test_gaps_split_tracks_and_the_last_one_comes_out(spark, tmp_path):
     assert got == [("a", 0, 3000, 3), ("a", 9000, 9500, 2), ("b", 11000, 11500, 2)]
 
 
+def test_slices_of_time_give_the_same_tracks(spark, tmp_path, monkeypatch):
+    schema = "frame_id string, shot_id string, source string, timestamp_ms long, fps double, ingested_at timestamp"
+    times = {"a": [0, 0, 2000, 4000, 9000, 60_000], "b": [*range(0, 70_000, 1500)], "c": [500, 30_000, 32_000, 34_001], "d": [69_999] * 9}
+    rows = [(f"{s}{i}", s, "x", t, 25.0, datetime(2025, 1, 1)) for s, ts in times.items() for i, t in enumerate(ts)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/frame.parquet")
+    tracks = lambda: sorted(tuple(r) for r in streams.stream_tracks(spark, str(tmp_path)).collect())
+    want, runs, once = tracks(), [], incremental.run_once
+    monkeypatch.setattr(streams, "SLICE_ROWS", 15)
+    monkeypatch.setattr(incremental, "run_once", lambda *a, **k: runs.append(1) or once(*a, **k))
+    assert tracks() == want and len(runs) > 3
+    assert [r[3:6] for r in want if r[0] in "bc"] == [(0, 69_000, 47), (500, 501, 1), (30_000, 32_000, 2), (34_001, 34_002, 1)]
+
+
 def test_late_rows_join_tracks_over_batches(spark):
     root, t0 = scratch_path(spark, "late"), datetime(2025, 1, 1)
     schema = "shot_id string, class_id string, local_id long, event_time timestamp, timestamp_ms long, confidence double"
